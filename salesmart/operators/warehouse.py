@@ -35,6 +35,19 @@ def with_special_members(dim: DataFrame, rows: list[tuple]) -> DataFrame:
     return dim.unionByName(dim.sparkSession.createDataFrame(rows, dim.schema))
 
 
+def export_orders(orders: DataFrame) -> DataFrame:
+    return orders.select("id_pedido", "fecha_pedido", "hora_pedido", "id_cliente", "id_empleado", "canal_interno",
+                         "metodo_pago", "monto_total", "fecha_imputada")
+
+
+def export_lines(lines: DataFrame) -> DataFrame:
+    return lines.select("id_detalle", "id_pedido", "id_plato", "cantidad", "precio_unitario", "subtotal")
+
+
+def export_dishes(dishes: DataFrame) -> DataFrame:
+    return dishes.select("id_plato", "nombre_plato", "categoria", "precio_base", "costo_estimado")
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Columns in the star's order and types."""
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in schemas.fields(schemas.STAR[table])])
