@@ -12,7 +12,7 @@ from ..sources.tables import Tables
 _BUILD: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ["scans", "filters", "joins", "aggregates", "windows", "sets"]
+MODULES = ["scans", "filters", "joins", "aggregates", "windows", "sets", "scalars", "quality"]
 
 
 def query(name: str, sql: str | None = None):
