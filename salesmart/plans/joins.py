@@ -81,10 +81,10 @@ def _(t: Tables):
 @query("j09_diff_images", b.sql("pedidos", """
     SELECT a.id_pedido, a.monto_total::DOUBLE AS antes, d.monto_total::DOUBLE AS despues FROM pedidos a
     JOIN (SELECT id_pedido, CASE WHEN id_pedido % 5 = 0 THEN monto_total + 1 ELSE monto_total END AS monto_total FROM pedidos
-          WHERE id_pedido % 7 <> 0) d USING (id_pedido) WHERE a.monto_total <> d.monto_total"""))
+          WHERE canal_interno <> 'Salón') d USING (id_pedido) WHERE a.monto_total <> d.monto_total"""))
 def _(t: Tables):
     before = b.pedidos(t)
-    after = before.filter("id_pedido % 7 <> 0").withColumn(
+    after = before.filter("canal_interno <> 'Salón'").withColumn(
         "monto_total", F.expr("CASE WHEN id_pedido % 5 = 0 THEN monto_total + 1 ELSE monto_total END"))
     return joins.diff_images(before, after, "id_pedido", "monto_total").filter("antes <> despues")
 

@@ -12,7 +12,8 @@ from ..sources.tables import Tables
 _BUILD: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ["scans", "filters", "joins", "aggregates", "windows", "sets", "scalars", "quality"]
+MODULES = ["scans", "filters", "joins", "aggregates", "windows", "sets", "scalars", "quality",
+           "warehouse", "kpis", "olap", "audit", "documents", "access", "surface", "streaming", "volume"]
 
 
 def query(name: str, sql: str | None = None):
