@@ -1,7 +1,15 @@
-"""Amount expressions.  Amounts are DECIMAL while computing, DOUBLE when published."""
+"""Amount expressions.
+
+Amounts are DECIMAL while computing and DOUBLE when published.  Rows that come
+in large numbers may carry whole cents as BIGINT instead: they add up exactly,
+cost a fraction of a decimal sum, and turn into DECIMAL after the first
+aggregate, so no long-running total can overflow.
+"""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(12,2)"
@@ -24,6 +32,23 @@ def publish(c: Column) -> Column:
     return c.cast("double")
 
 
+def cents(c: Column) -> Column:
+    """Whole cents of a two-digit amount; exact below 9e13."""
+    return F.rint(c * 100).cast("bigint")
+
+
+def units(c: Column) -> Column:
+    """Amount of a number of cents."""
+    return (c.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(21,2)")
+
+
+def half_even_div(n: Column, d: Column | int) -> Column:
+    """n / d in whole numbers, rounded half to even, for n >= 0 and d > 0."""
+    d = F.lit(d) if isinstance(d, int) else d
+    q, twice = F.call_function("div", n, d), (n % d) * 2
+    return q + F.when((twice > d) | ((twice == d) & (q % 2 == 1)), 1).otherwise(0)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b as double; NULL when b is zero or NULL."""
     return F.try_divide(a.cast("double"), b.cast("double"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.money import ratio
+from ..functions.money import ratio, units
 from . import windows
 
 EXTERNAL = "CSV externo"
@@ -38,14 +38,17 @@ MEASURES: dict[str, Column | str] = {
 }
 
 
-def per_order(sales: DataFrame, *by: str) -> DataFrame:
+_AMOUNTS = ["_neto", "_bruto", "_margen", "_comision", "_neto_app", "_bruto_app"]
+
+
+def per_order(sales: DataFrame, *by: str, order: str = "nro_pedido") -> DataFrame:
     """One row per order within each group: sums, counts and the order's customer."""
     external = F.col("origen") == EXTERNAL
     rows = sales.withColumns({
         "_neto_app": F.when(external, F.col("importe_neto")),
         "_bruto_app": F.when(external, F.col("importe_bruto")),
     })
-    return rows.groupBy(*by, "nro_pedido").agg(
+    return rows.groupBy(*by, order).agg(
         *[F.sum(c).alias(name) for name, c in _SUMS.items()],
         F.count("calificacion").alias("_n_calif"),
         F.count("tiempo_entrega_min").alias("_n_min"),
@@ -55,15 +58,24 @@ def per_order(sales: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def totals(sales: DataFrame, *by: str) -> DataFrame:
+def _in_units(df: DataFrame) -> DataFrame:
+    """Amounts that came as whole cents turn into decimals."""
+    whole = [c for c in _AMOUNTS if isinstance(df.schema[c].dataType, T.LongType)]
+    return df.withColumns({c: units(F.col(c)) for c in whole}) if whole else df
+
+
+def totals(sales: DataFrame, *by: str, order: str = "nro_pedido") -> DataFrame:
     """Order -> customer -> group.  Each step shrinks the rows before the next
-    shuffle and distinct counts become plain counts, so no hot group is gathered."""
+    shuffle and distinct counts become plain counts, so no hot group is gathered.
+
+    Amounts may be decimals, or whole cents as BIGINT.
+    """
     additive = [*_SUMS, "_n_calif", "_n_min"]
-    customers = per_order(sales, *by).groupBy(*by, "id_cliente", "_ident").agg(
+    customers = _in_units(per_order(sales, *by, order=order).groupBy(*by, "id_cliente", "_ident").agg(
         *[F.sum(c).alias(c) for c in additive],
         F.count(F.lit(1)).alias("_pedidos"),
         F.sum("_app").alias("_pedidos_app"),
-    )
+    ))
     known = F.col("_ident") == 1
     return customers.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in [*additive, "_pedidos", "_pedidos_app"]],
@@ -81,9 +93,13 @@ def _published(names: Sequence[str]) -> list[Column]:
     return columns
 
 
-def measures(sales: DataFrame, *by: str, names: Sequence[str] | None = None) -> DataFrame:
-    """The chosen measures (all by default) per group, or over everything."""
-    return totals(sales, *by).select(*by, *_published(names or list(MEASURES)))
+def measures(sales: DataFrame, *by: str, names: Sequence[str] | None = None,
+             order: str = "nro_pedido") -> DataFrame:
+    """The chosen measures (all by default) per group, or over everything.
+
+    ``order`` is the column that tells orders apart.
+    """
+    return totals(sales, *by, order=order).select(*by, *_published(names or list(MEASURES)))
 
 
 # Labels and order of the KPI report.
@@ -102,9 +118,9 @@ KPI_ROWS = [
 ]
 
 
-def kpi_table(sales: DataFrame) -> DataFrame:
+def kpi_table(sales: DataFrame, order: str = "nro_pedido") -> DataFrame:
     """(kpi, valor) rounded to two digits."""
-    wide = measures(sales)
+    wide = measures(sales, order=order)
     rows = [F.struct(F.lit(label).alias("kpi"),
                      F.round(F.col(name).cast("double") * scale, 2).alias("valor"))
             for label, name, scale in KPI_ROWS]
@@ -115,12 +131,12 @@ APP_PANEL = ["orders", "gross_sales", "commission", "commission_pct", "gross_mar
              "app_rating", "delivery_min"]
 
 
-def app_panel(sales: DataFrame) -> DataFrame:
+def app_panel(sales: DataFrame, order: str = "nro_pedido") -> DataFrame:
     """App measures per platform plus one total row; ``g_canal`` = 1 marks the total."""
     apps = sales.filter(F.col("origen") == EXTERNAL)
     additive = [*_SUMS, "_n_calif", "_n_min"]
-    by_channel = per_order(apps, "canal").groupBy("canal").agg(
-        *[F.sum(c).alias(c) for c in additive], F.count(F.lit(1)).alias("_pedidos"))
+    by_channel = _in_units(per_order(apps, "canal", order=order).groupBy("canal").agg(
+        *[F.sum(c).alias(c) for c in additive], F.count(F.lit(1)).alias("_pedidos")))
     rolled = by_channel.rollup("canal").agg(
         *[F.sum(c).alias(c) for c in [*additive, "_pedidos"]], F.grouping("canal").alias("g_canal"))
     return rolled.select("canal", "g_canal", *_published(APP_PANEL))

@@ -21,6 +21,7 @@ def quarter_stats(t: Tables) -> DataFrame:
     partial = b.lines(t).groupBy("id_pedido").agg(
         F.sum("importe_neto").alias("s"), F.max("importe_neto").alias("mx"), F.min("importe_neto").alias("mn"),
         F.count(F.lit(1)).alias("n"))
+    partial = b.in_units(partial, "s", "mx", "mn")
     total = F.sum("s").cast("double")
     return joins.join_header(partial, b.heads(t)).groupBy("anio", "trimestre").agg(
         F.round(total, 0).alias("acumulado"), F.round(total / F.sum("n"), 2).alias("promedio_linea"),
@@ -56,6 +57,7 @@ def sales_by_category(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
     """
     per_order = b.with_dish(b.lines(t), t).groupBy("id_pedido", "categoria").agg(
         F.sum("cantidad").alias("cantidad"), F.sum("importe_neto").alias("importe_neto"), F.sum("margen_bruto").alias("margen_bruto"))
+    per_order = b.in_units(per_order)
     ranged = b.heads(t).filter(F.col("fecha").between(F.lit(first), F.lit(last)))
     return joins.join_header(per_order, ranged).groupBy("categoria").agg(
         F.count(F.lit(1)).alias("pedidos"), F.sum("cantidad").alias("unidades"),
@@ -104,7 +106,7 @@ def _(t: Tables):
 @query("a06_order_header", b.sql("sales", """
     SELECT nro_pedido, sum(importe_neto)::DOUBLE AS neto, min(id_cliente) AS cliente, min(es_cliente_identificado) AS ident FROM sales GROUP BY 1"""))
 def _(t: Tables):
-    sums = b.lines(t).groupBy("nro_pedido", "id_pedido").agg(F.sum("importe_neto").alias("neto"))
+    sums = b.in_units(b.lines(t).groupBy("nro_pedido", "id_pedido").agg(F.sum("importe_neto").alias("neto")), "neto")
     return joins.join_header(sums, b.heads(t)).join(b.people(t), "id_cliente").select(
         "nro_pedido", "neto", F.col("id_cliente").alias("cliente"), F.col("es_cliente_identificado").alias("ident"))
 
@@ -116,7 +118,7 @@ REPEAT_SQL = """
 
 @query("a07_repeat_customer_rate", b.sql("sales", REPEAT_SQL))
 def _(t: Tables):
-    return measures(b.sales(t, dish=True, customer=True), names=["identified_customers", "repeat_pct"])
+    return measures(b.sales(t, dish=True, customer=True), names=["identified_customers", "repeat_pct"], order="ref")
 
 
 def _grouping(keys: str) -> str:
@@ -224,7 +226,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query("a16_describe", b.sql("sales", _describe_sql("sales", ["cantidad", "precio_base", "importe_neto", "margen_bruto"])))
 def _(t: Tables):
-    return _rounded(stats.describe_cols(b.sales(t, dish=True), ["cantidad", "precio_base", "importe_neto", "margen_bruto"]))
+    return _rounded(stats.describe_cols(b.in_units(b.sales(t, dish=True)), ["cantidad", "precio_base", "importe_neto", "margen_bruto"]))
 
 
 SUMMARY = ["importe_neto", "cantidad", "tiempo_entrega_min", "calificacion"]
@@ -233,7 +235,7 @@ SUMMARY = ["importe_neto", "cantidad", "tiempo_entrega_min", "calificacion"]
 @query("a17_summary", b.sql("lines", _describe_sql("lines", SUMMARY, ", " + ", ".join(
     f"quantile_disc({{0}}, {p / 100})::DOUBLE AS p{p}" for p in (25, 50, 75)))))
 def _(t: Tables):
-    return _rounded(stats.summary_cols(b.lines(t), SUMMARY))
+    return _rounded(stats.summary_cols(b.in_units(b.lines(t)), SUMMARY))
 
 
 RATING_SQL = """
@@ -251,7 +253,7 @@ def _(t: Tables):
 @query("a19_median_disc", b.sql("lines", """
     SELECT origen, l_returnflag, quantile_disc(importe_neto, 0.5)::DOUBLE AS mediana FROM lines GROUP BY 1, 2"""))
 def _(t: Tables):
-    return stats.median_disc(b.lines(t), ["origen", "l_returnflag"], "importe_neto")
+    return b.in_units(stats.median_disc(b.lines(t), ["origen", "l_returnflag"], "importe_neto"), "mediana")
 
 
 @query("a20_having", b.sql("resenas", """
@@ -287,7 +289,7 @@ def _(t: Tables):
 @query("a24_share_of_groups", b.sql("sales", """
     SELECT avg((n >= 3)::INT) * 100 AS pct FROM (SELECT nro_pedido, count(*) AS n FROM lines GROUP BY 1)"""))
 def _(t: Tables):
-    per_order = b.lines(t).groupBy("nro_pedido").agg(F.count(F.lit(1)).alias("n"))
+    per_order = b.lines(t).groupBy("ref").agg(F.count(F.lit(1)).alias("n"))
     return per_order.agg((F.avg((F.col("n") >= 3).cast("int")) * 100).alias("pct"))
 
 
@@ -311,7 +313,7 @@ BENCH_SQL = """SELECT nombre_plato, l_returnflag, sum(importe_neto)::DOUBLE AS v
 
 @query("a27_bench_agg", b.sql("sales", BENCH_SQL))
 def _(t: Tables):
-    return volume.bench_agg(b.lines(t), b.dishes(t), "id_plato", "nombre_plato", "l_returnflag", "importe_neto", "cantidad")
+    return b.in_units(volume.bench_agg(b.lines(t), b.dishes(t), "id_plato", "nombre_plato", "l_returnflag", "importe_neto", "cantidad"), "ventas")
 
 
 @query("a28_month_channel", b.sql("sales", "SELECT anio_mes, canal, sum(importe_neto)::DOUBLE AS ventas FROM sales GROUP BY 1, 2"))

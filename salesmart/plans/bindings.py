@@ -8,11 +8,10 @@ written separately on each side.
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import calendar
+from ..functions import calendar, money
 from ..operators import joins, quality, warehouse
 from ..operators.measures import EXTERNAL, INTERNAL
 from ..session import stage
@@ -266,29 +265,33 @@ HOLIDAYS = [(1, 1, "Año Nuevo"), (5, 1, "Día del Trabajo"), (6, 7, "Batalla de
 # Sales view of the OLAP queries -------------------------------------------------
 
 def lines(t: Tables) -> DataFrame:
-    """Order lines with amounts; lines with status O stand for the delivery apps."""
+    """Order lines; those with status O stand for the delivery apps.
+
+    Amounts are whole cents (BIGINT); ``ref`` tells orders apart as a number.
+    """
     external = F.col("l_linestatus") == "O"
-    gross = F.col("l_extendedprice").cast("decimal(12,2)")
-    fee = F.when(external, F.bround(gross * F.col("l_discount").cast("decimal(4,2)"), 2)).otherwise(F.lit(Decimal("0.00")))
-    return t.lineitem.select(
+    gross, pct = money.cents(F.col("l_extendedprice")), F.rint(F.col("l_discount") * 100).cast("bigint")
+    rows = t.lineitem.select(
         F.col("l_orderkey").alias("id_pedido"), F.col("l_partkey").alias("id_plato"), F.col("l_suppkey").alias("id_empleado"),
         F.when(external, EXTERNAL).otherwise(INTERNAL).alias("origen"),
         F.concat(F.when(external, "APP-").otherwise("SQL-"), F.col("l_orderkey").cast("string")).alias("nro_pedido"),
+        (F.col("l_orderkey") * 2 + external.cast("int")).alias("ref"),
         F.col("l_quantity").cast("int").alias("cantidad"),
         gross.alias("importe_bruto"),
-        fee.cast("decimal(12,2)").alias("comision_plataforma"),
-        (gross - fee).cast("decimal(12,2)").alias("importe_neto"),
+        F.when(external, money.half_even_div(gross * pct, 100)).otherwise(F.lit(0)).cast("bigint").alias("comision_plataforma"),
         F.when(external, F.col("l_linenumber")).alias("calificacion"),
-        F.when(external, F.round(F.col("l_tax") * 1000).cast("int")).alias("tiempo_entrega_min"),
+        F.when(external, F.rint(F.col("l_tax") * 1000).cast("int")).alias("tiempo_entrega_min"),
         "l_returnflag", "l_linenumber",
     )
+    return rows.withColumn("importe_neto", F.col("importe_bruto") - F.col("comision_plataforma"))
 
 
 def dishes(t: Tables) -> DataFrame:
-    price = F.col("p_retailprice").cast("decimal(10,2)")
+    """Dishes; the estimated cost is in cents, like the line amounts."""
+    price = money.cents(F.col("p_retailprice"))
     return t.part.select(
         F.col("p_partkey").alias("id_plato"), F.col("p_brand").alias("nombre_plato"), F.col("p_type").alias("categoria"),
-        price.alias("precio_base"), F.bround(price * F.lit(Decimal("0.35")), 2).cast("decimal(10,2)").alias("costo_estimado"))
+        money.units(price).alias("precio_base"), money.half_even_div(price * 35, 100).alias("costo_estimado"))
 
 
 def date_columns(d: Column) -> list[Column]:
@@ -310,12 +313,18 @@ def people(t: Tables) -> DataFrame:
 
 
 def with_dish(df: DataFrame, t: Tables) -> DataFrame:
-    """Add dish columns, and cost and margin where the rows still carry quantities."""
-    joined = df.join(dishes(t), "id_plato")
+    """Add dish columns, cost and margin (cents)."""
     cost = F.col("cantidad") * F.col("costo_estimado")
-    return joined.withColumns({
-        "costo_total": cost.cast("decimal(22,2)"),
-        "margen_bruto": (F.col("importe_neto") - cost).cast("decimal(22,2)")})
+    return df.join(dishes(t), "id_plato").withColumns({
+        "costo_total": cost, "margen_bruto": F.col("importe_neto") - cost})
+
+
+def in_units(df: DataFrame, *columns: str) -> DataFrame:
+    """Cents to amounts."""
+    return df.withColumns({c: money.units(F.col(c)) for c in columns or CENTS if c in df.columns})
+
+
+CENTS = ["importe_bruto", "comision_plataforma", "importe_neto", "costo_total", "margen_bruto"]
 
 
 def sales(t: Tables, dish: bool = False, order: bool = False, customer: bool = False) -> DataFrame:
@@ -334,20 +343,16 @@ def by_dish(t: Tables, *extra: str) -> DataFrame:
     """Lines summed per dish (and line attributes) before the dish join: a dish
     that sells a third of all lines is one row per map task."""
     sums = lines(t).groupBy("id_plato", *extra).agg(
-        F.sum("cantidad").alias("cantidad"), F.sum("importe_neto").alias("importe_neto"),
-        F.sum("importe_bruto").alias("importe_bruto"))
-    return with_dish(sums, t)
-
-
-AMOUNTS = ["importe_bruto", "comision_plataforma", "importe_neto", "costo_total", "margen_bruto", "cantidad"]
+        *[F.sum(c).alias(c) for c in ("cantidad", "importe_neto", "importe_bruto")])
+    return in_units(with_dish(sums, t))
 
 
 def by_order(t: Tables, *extra: str, dish: bool = False) -> DataFrame:
     """Lines summed per order (and other attributes) before the order join."""
     rows = with_dish(lines(t), t) if dish else lines(t)
-    amounts = [c for c in AMOUNTS if c in rows.columns]
-    sums = rows.groupBy("id_pedido", *extra).agg(*[F.sum(c).alias(c) for c in amounts])
-    return joins.join_header(sums, heads(t))
+    added = [c for c in [*CENTS, "cantidad"] if c in rows.columns]
+    sums = rows.groupBy("id_pedido", *extra).agg(*[F.sum(c).alias(c) for c in added])
+    return joins.join_header(in_units(sums), heads(t))
 
 
 # Star built from the OLTP bindings, kept per table directory ---------------------

@@ -48,13 +48,13 @@ DICE = (1996, 1, ["ECONOMY", "SMALL"], ["MACHINERY", "FURNITURE"])
     WHERE anio = 1996 AND trimestre = 1 AND categoria IN ('ECONOMY','SMALL') AND metodo_pago IN ('MACHINERY','FURNITURE')"""))
 def _(t: Tables):
     rows = olap.dice(b.sales(t, dish=True, customer=True), *DICE)
-    return rows.select("nro_pedido", "categoria", "metodo_pago", "importe_neto")
+    return b.in_units(rows.select("nro_pedido", "categoria", "metodo_pago", "importe_neto"))
 
 
 @query("p05_slice_predicate", b.sql("sales", """
     SELECT nro_pedido, importe_neto::DOUBLE AS importe_neto FROM sales WHERE canal = '2-HIGH'"""))
 def _(t: Tables):
-    return olap.slice_(b.sales(t, order=True), "canal", "2-HIGH").select("nro_pedido", "importe_neto")
+    return b.in_units(olap.slice_(b.sales(t, order=True), "canal", "2-HIGH").select("nro_pedido", "importe_neto"))
 
 
 @query("p06_null_counts", b.sql("clientes", """

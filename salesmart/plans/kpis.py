@@ -38,7 +38,7 @@ def _measure(id_: str, name: str, *by: str) -> None:
 
     @query(f"{id_}_{name}", b.sql("sales", f"SELECT {keys}{RULES[name]} AS {name} FROM sales{group}"))
     def _(t: Tables):
-        return measures.measures(_sales(t), *by, names=[name])
+        return measures.measures(_sales(t), *by, names=[name], order="ref")
 
 
 _measure("k01", "net_sales", "anio")
@@ -63,7 +63,7 @@ REPEAT = """
 
 @query("k12_repeat_pct", b.sql("sales", REPEAT))
 def _(t: Tables):
-    return measures.measures(_sales(t), "distrito", names=["repeat_pct"])
+    return measures.measures(_sales(t), "distrito", names=["repeat_pct"], order="ref")
 
 
 def _yearly(t: Tables):
@@ -112,7 +112,7 @@ KPI_SQL = {
     UNION ALL SELECT 'K7 Tasa de clientes recurrentes (%)', round(count(*) FILTER (WHERE n >= 2)::DOUBLE / count(*) * 100, 2)
     FROM (SELECT id_cliente, count(DISTINCT nro_pedido) AS n FROM sales WHERE es_cliente_identificado = 1 GROUP BY 1)"""))
 def _(t: Tables):
-    return measures.kpi_table(_sales(t))
+    return measures.kpi_table(_sales(t), order="ref")
 
 
 PANEL = ", ".join(f"{RULES[name]} AS {name}" for name in measures.APP_PANEL)
@@ -122,5 +122,5 @@ PANEL = ", ".join(f"{RULES[name]} AS {name}" for name in measures.APP_PANEL)
     SELECT canal, CAST(grouping(canal) AS INT) AS g_canal, {PANEL} FROM (SELECT * FROM sales WHERE origen = 'CSV externo') GROUP BY ROLLUP (canal)"""))
 def _(t: Tables):
     panel = measures.app_panel(b.sales(t, dish=True, order=True).withColumns(
-        {"es_cliente_identificado": F.lit(None).cast("int")}))
+        {"es_cliente_identificado": F.lit(None).cast("int")}), order="ref")
     return panel.withColumn("g_canal", F.col("g_canal").cast("int"))

@@ -23,7 +23,7 @@ def _(t: Tables):
 @query("u02_union_facts", b.sql("lines", """
     SELECT nro_pedido, origen, importe_neto::DOUBLE AS importe_neto, calificacion, tiempo_entrega_min FROM lines"""))
 def _(t: Tables):
-    rows = b.lines(t)
+    rows = b.in_units(b.lines(t))
     own = rows.filter(F.col("origen") == INTERNAL).select("nro_pedido", "origen", "importe_neto")
     apps = rows.filter(F.col("origen") == EXTERNAL).select("nro_pedido", "origen", "importe_neto", "calificacion", "tiempo_entrega_min")
     return warehouse.union_facts(own, apps)

@@ -29,7 +29,8 @@ def _bench(k: int) -> None:
         SELECT nombre_plato, l_returnflag, ({k} * sum(importe_neto))::DOUBLE AS ventas, CAST({k} * sum(cantidad) AS BIGINT) AS unidades
         FROM sales GROUP BY 1, 2"""))
     def _(t: Tables):
-        return volume.bench_agg(volume.replicate(_rows(t), k), b.dishes(t), "id_plato", "nombre_plato", "l_returnflag", "importe_neto", "cantidad")
+        replicas = volume.replicate(_rows(t), k)
+        return b.in_units(volume.bench_agg(replicas, b.dishes(t), "id_plato", "nombre_plato", "l_returnflag", "importe_neto", "cantidad"), "ventas")
 
 
 for _k in (1, 10, 50):
@@ -40,7 +41,7 @@ for _k in (1, 10, 50):
     SELECT nombre_plato, l_returnflag, sum(importe_neto)::DOUBLE AS ventas, CAST(sum(cantidad) AS BIGINT) AS unidades FROM sales GROUP BY 1, 2"""))
 def _(t: Tables):
     path = staging_dir(t.spark, "bench_csv")
-    _rows(t).write.option("header", True).csv(path)
+    b.in_units(_rows(t)).write.option("header", True).csv(path)
     fact = feeds.read_csv(t.spark, path, "id_plato bigint, l_returnflag string, importe_neto decimal(12,2), cantidad int")
     return volume.bench_agg(fact, b.dishes(t), "id_plato", "nombre_plato", "l_returnflag", "importe_neto", "cantidad")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..session import configure
 from .schemas import TABLES
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 class Tables:
     """``Tables(spark, dir).orders`` is a lazy scan of ``dir/orders.parquet``."""
 
@@ -21,7 +24,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        # Footers are read once per session and table, not once per query.
+        key = (self.spark.sparkContext.applicationId, self.path(name))
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(self.path(name)).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(self.path(name))
 
     def register(self) -> None:
         """Temp views, so SQL text can be run against the tables."""
