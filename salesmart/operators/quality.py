@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, money, text
 from ..session import stage
+from ..sources.feeds import literal_rows
 from . import joins, stats, windows
 
 WALK_IN = 9999
@@ -152,8 +153,8 @@ def load_clients(staging: DataFrame, order: Sequence[str], existing: DataFrame |
     ).filter(F.col("id_cliente").isNotNull())
     if existing is not None:
         typed = typed.unionByName(existing.select(*typed.columns))
-    member = staging.sparkSession.createDataFrame(
-        [(WALK_IN, None, "CLIENTE", "DE PASO", None, None, "N/A", "Nuevo", dt.date(2025, 6, 1))],
+    member = literal_rows(
+        staging.sparkSession, [(WALK_IN, None, "CLIENTE", "DE PASO", None, None, "N/A", "Nuevo", dt.date(2025, 6, 1))],
         "id_cliente bigint, dni string, nombre string, apellido string, email string, "
         "telefono string, distrito string, tipo_cliente string, fecha_registro date")
     absent = member.join(typed.filter(F.col("id_cliente") == WALK_IN).select("id_cliente").limit(1),

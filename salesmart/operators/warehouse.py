@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import calendar, masks, money, text
 from ..sources import schemas
-from ..sources.feeds import literal_dim
+from ..sources.feeds import literal_dim, literal_rows
 from . import joins, quality, stats, windows
 from .measures import EXTERNAL, INTERNAL
 
@@ -32,7 +32,8 @@ NO_SELLER = (NO_EMPLOYEE, "Sin vendedor (plataforma externa)", "N/A")
 
 def with_special_members(dim: DataFrame, rows: list[tuple]) -> DataFrame:
     """Append fixed members given in the dimension's column order."""
-    return dim.unionByName(dim.sparkSession.createDataFrame(rows, dim.schema))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dim.schema.fields)
+    return dim.unionByName(literal_rows(dim.sparkSession, rows, schema))
 
 
 def export_orders(orders: DataFrame) -> DataFrame:
@@ -49,8 +50,18 @@ def export_dishes(dishes: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns in the star's order and types."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in schemas.fields(schemas.STAR[table])])
+    """Columns in the star's order and types; amounts held as whole cents become decimals."""
+    columns = []
+    for name, kind in schemas.fields(schemas.STAR[table]):
+        whole = kind == money.MONEY and isinstance(df.schema[name].dataType, T.LongType)
+        columns.append((money.units(F.col(name)) if whole else F.col(name)).cast(kind).alias(name))
+    return df.select(*columns)
+
+
+def in_cents(df: DataFrame, *columns: str) -> DataFrame:
+    """Amounts as whole cents; columns that already are stay."""
+    return df.withColumns({c: money.cents(F.col(c)) for c in columns
+                           if not isinstance(df.schema[c].dataType, T.LongType)})
 
 
 def union_facts(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -79,10 +90,7 @@ def build_dim_customer(customers: DataFrame, as_of: dt.date, salt: str) -> DataF
         calendar.tenure_months(F.col("fecha_registro"), as_of).alias("antiguedad_meses"),
         F.lit(1).alias("es_cliente_identificado"),
     )
-    special = customers.sparkSession.createDataFrame(
-        [(i, *row) for i, row in enumerate(SPECIAL_CUSTOMERS, 1)],
-        "sk_cliente bigint, id_cliente_nk bigint, cliente_seudonimo string, dni_hash string, distrito string, "
-        "tipo_cliente string, fecha_registro date, antiguedad_meses int, es_cliente_identificado int")
+    special = literal_dim(customers.sparkSession, SPECIAL_CUSTOMERS, schemas.STAR["dim_cliente"])
     keyed = windows.surrogate_key(people, ["id_cliente_nk"], "sk_cliente", start=len(SPECIAL_CUSTOMERS) + 1)
     return conform(special.unionByName(keyed), "dim_cliente")
 
@@ -109,8 +117,7 @@ def employee_view(employees: DataFrame) -> DataFrame:
 
 def build_dim_employee(employees: DataFrame) -> DataFrame:
     view = employee_view(employees)
-    nobody = employees.sparkSession.createDataFrame(
-        [(1, *NO_SELLER)], "sk_empleado bigint, id_empleado_nk bigint, nombre_completo string, cargo string")
+    nobody = literal_dim(employees.sparkSession, [NO_SELLER], schemas.STAR["dim_empleado"])
     return conform(
         nobody.unionByName(windows.surrogate_key(view, ["id_empleado_nk"], "sk_empleado", start=2)), "dim_empleado")
 
@@ -129,11 +136,18 @@ def clean_feed(feed: DataFrame, catalog: DataFrame, order: list[str]) -> DataFra
     return quality.impute_price(first, catalog).withColumn("fecha", F.col("fecha_iso").try_cast("date"))
 
 
+def _dish_keys(dims: Mapping[str, DataFrame]) -> DataFrame:
+    return dims["dim_plato"].select(
+        F.col("id_plato_nk").alias("id_plato"), "sk_plato", money.cents(F.col("costo_estimado")).alias("costo_estimado"))
+
+
 def build_fact_internal(lines: DataFrame, orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Branch 1: own channels.  No commission, net equals gross, no delivery columns.
 
-    Small lookups run on the order side, before the join multiplies rows by lines.
+    Small lookups run on the order side, before the join multiplies rows by
+    lines.  Line amounts may come as decimals or whole cents; they leave as cents.
     """
+    lines = in_cents(lines, "precio_unitario", "subtotal")
     heads = orders.withColumn("turno", calendar.shift_of(F.col("hora_pedido")))
     heads = joins.lookup(heads, dims["dim_cliente"], "id_cliente", "id_cliente_nk", "sk_cliente", check=False)
     heads = joins.lookup(heads, dims["dim_empleado"], "id_empleado", "id_empleado_nk", "sk_empleado", check=False)
@@ -143,27 +157,28 @@ def build_fact_internal(lines: DataFrame, orders: DataFrame, dims: Mapping[str,
     heads = heads.select(
         "id_pedido", calendar.date_key(F.col("fecha_pedido")).alias("sk_fecha"),
         "sk_cliente", "sk_empleado", "sk_pago", "sk_canal", "sk_turno")
-    dish = dims["dim_plato"].select(F.col("id_plato_nk").alias("id_plato"), "sk_plato", "costo_estimado")
-    rows = joins.join_header(joins.attach(lines, dish, "id_plato"), heads)
-    zero = F.lit(0).cast(money.MONEY)
+    rows = joins.join_header(joins.attach(lines, _dish_keys(dims), "id_plato"), heads)
     return rows.select(
         "sk_fecha", "sk_cliente", "sk_plato", "sk_empleado", "sk_pago", "sk_canal", "sk_turno",
         text.order_ref("SQL-", F.col("id_pedido")).alias("nro_pedido"),
         F.lit(INTERNAL).alias("origen"), "cantidad",
-        F.col("precio_unitario").cast(money.MONEY).alias("precio_unitario"),
-        F.col("subtotal").cast(money.MONEY).alias("importe_bruto"),
-        zero.alias("comision_plataforma"),
-        F.col("subtotal").cast(money.MONEY).alias("importe_neto"),
-        F.bround(F.col("costo_estimado") * F.col("cantidad"), 2).cast(money.MONEY).alias("costo_total"),
+        "precio_unitario",
+        F.col("subtotal").alias("importe_bruto"),
+        F.lit(0).cast("bigint").alias("comision_plataforma"),
+        F.col("subtotal").alias("importe_neto"),
+        (F.col("costo_estimado") * F.col("cantidad")).alias("costo_total"),
         F.col("id_pedido").alias("_orden1"), F.col("id_detalle").alias("_orden2"))
 
 
 def build_fact_external(feed: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Branch 2: delivery apps.  Constant customer, seller, payment and shift members."""
-    dish = dims["dim_plato"].select(F.col("id_plato_nk").alias("id_plato"), "sk_plato", "costo_estimado")
-    rows = joins.attach(feed, dish, "id_plato")
+    """Branch 2: delivery apps.  Constant customer, seller, payment and shift members.
+
+    Amounts leave as whole cents, like those of the first branch.
+    """
+    rows = joins.attach(feed, _dish_keys(dims), "id_plato")
     rows = joins.lookup(rows, dims["dim_canal"], "plataforma", "canal", "sk_canal", check=False)
-    amounts = money.sale_amounts(F.col("precio_bruto"), F.col("comision_pct"), F.col("cantidad"), F.col("costo_estimado"))
+    gross, qty = money.cents(F.col("precio_bruto")), F.col("cantidad")
+    fee = money.half_even_div(gross * F.col("comision_pct"), 100)
     # Fixed member positions: app customer 2, no seller 1, platform payment 5, no shift 4.
     return rows.select(
         calendar.date_key(F.col("fecha")).alias("sk_fecha"),
@@ -171,7 +186,9 @@ def build_fact_external(feed: DataFrame, dims: Mapping[str, DataFrame]) -> DataF
         F.lit(1).cast("bigint").alias("sk_empleado"),
         F.lit(5).alias("sk_pago"), "sk_canal", F.lit(4).alias("sk_turno"),
         F.col("order_ref").alias("nro_pedido"), F.lit(EXTERNAL).alias("origen"), "cantidad",
-        *[c.alias(name) for name, c in amounts.items() if name != "margen_bruto"],
+        money.half_even_div(gross, qty).alias("precio_unitario"), gross.alias("importe_bruto"),
+        fee.alias("comision_plataforma"), (gross - fee).alias("importe_neto"),
+        (F.col("costo_estimado") * qty).alias("costo_total"),
         F.col("tiempo_entrega_min").cast("int").alias("tiempo_entrega_min"),
         F.col("calificacion").cast("decimal(2,1)").alias("calificacion"))
 
@@ -180,7 +197,7 @@ def build_fact(internal: DataFrame, external: DataFrame) -> DataFrame:
     """Both branches with margin and a dense key: internal rows first, then external."""
     rows = union_facts(
         internal.withColumn("_rama", F.lit(1)), external.withColumn("_rama", F.lit(2)))
-    rows = rows.withColumn("margen_bruto", F.bround(F.col("importe_neto") - F.col("costo_total"), 2))
+    rows = rows.withColumn("margen_bruto", F.col("importe_neto") - F.col("costo_total"))
     order = ["_rama", "_orden1", "_orden2", "nro_pedido", "sk_plato", "sk_empleado", "cantidad",
              "importe_bruto", "precio_unitario"]
     return conform(windows.surrogate_key(rows, order, "sk_venta"), "fact_ventas")

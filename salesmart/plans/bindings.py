@@ -8,6 +8,7 @@ written separately on each side.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -198,6 +199,13 @@ def detalle(t: Tables) -> DataFrame:
     return _select(t.lineitem, detalle_cols(_SPARK))
 
 
+def detalle_cents(t: Tables) -> DataFrame:
+    """``detalle`` with its amounts as whole cents."""
+    cents = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+    return _select(t.lineitem, detalle_cols(_SPARK) | {
+        "precio_unitario": f"{cents} div CAST(l_quantity AS INT)", "subtotal": cents})
+
+
 def clientes(t: Tables) -> DataFrame:
     return _select(t.customer, clientes_cols(_SPARK))
 
@@ -361,15 +369,21 @@ _STAR: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def build_star(t: Tables) -> dict[str, DataFrame]:
-    """The whole ETL: clean feed, seven dimensions, integrated fact."""
-    dims = {
-        "dim_fecha": stage(warehouse.build_dim_date(t.spark, DIM_FIRST, DIM_LAST, holidays(t)), "dim_fecha"),
-        "dim_cliente": stage(warehouse.build_dim_customer(clientes(t), AS_OF, SALT), "dim_cliente"),
-        "dim_plato": stage(warehouse.build_dim_dish(platos(t)), "dim_plato"),
-        "dim_empleado": stage(warehouse.build_dim_employee(empleados(t)), "dim_empleado"),
-        **warehouse.build_small_dims(t.spark),
+    """The whole ETL: clean feed, seven dimensions, integrated fact.
+
+    The four built dimensions do not depend on each other, so their jobs are
+    submitted together.
+    """
+    builders = {
+        "dim_fecha": lambda: stage(warehouse.build_dim_date(t.spark, DIM_FIRST, DIM_LAST, holidays(t)), "dim_fecha"),
+        "dim_cliente": lambda: stage(warehouse.build_dim_customer(clientes(t), AS_OF, SALT), "dim_cliente"),
+        "dim_plato": lambda: stage(warehouse.build_dim_dish(platos(t)), "dim_plato"),
+        "dim_empleado": lambda: stage(warehouse.build_dim_employee(empleados(t)), "dim_empleado"),
     }
-    internal = warehouse.build_fact_internal(detalle(t), pedidos(t), dims)
+    with ThreadPoolExecutor(len(builders)) as pool:
+        started = {name: pool.submit(build) for name, build in builders.items()}
+    dims = {name: job.result() for name, job in started.items()} | warehouse.build_small_dims(t.spark)
+    internal = warehouse.build_fact_internal(detalle_cents(t), pedidos(t), dims)
     external = warehouse.build_fact_external(warehouse.clean_feed(feed(t), platos(t), FIRST), dims)
     return {**dims, "fact_ventas": stage(warehouse.build_fact(internal, external), "fact_ventas")}
 

@@ -48,12 +48,13 @@ _dim("d05", "dim_turno")
 
 BRANCH = [c for c in FACT_COLUMNS if c not in ("sk_venta", "margen_bruto")]
 AMOUNTS = {c for c, kind in fields(STAR["fact_ventas"]) if kind.startswith("decimal")}
+MONEY = sorted(AMOUNTS - {"calificacion"})
 BRANCH_SQL = ", ".join(f"{c}::DOUBLE AS {c}" if c in AMOUNTS else c for c in BRANCH)
 
 
 @query("d06_fact_internal", b.sql("fact_internal", f"SELECT {BRANCH_SQL} FROM fact_internal"))
 def _(t: Tables):
-    rows = warehouse.build_fact_internal(b.detalle(t), b.pedidos(t), b.star(t))
+    rows = b.in_units(warehouse.build_fact_internal(b.detalle(t), b.pedidos(t), b.star(t)), *MONEY)
     missing = {"tiempo_entrega_min": F.lit(None).cast("int"), "calificacion": F.lit(None).cast("double")}
     return rows.withColumns(missing).select(*BRANCH)
 
@@ -61,7 +62,7 @@ def _(t: Tables):
 @query("d07_fact_external", b.sql("fact_external", f"SELECT {BRANCH_SQL} FROM fact_external"))
 def _(t: Tables):
     feed = warehouse.clean_feed(b.feed(t), b.platos(t), b.FIRST)
-    return warehouse.build_fact_external(feed, b.star(t)).select(*BRANCH)
+    return b.in_units(warehouse.build_fact_external(feed, b.star(t)), *MONEY).select(*BRANCH)
 
 
 @query("d08_fact_ventas", b.sql("fact_ventas", f"SELECT {_typed('fact_ventas')} FROM fact_ventas"))

@@ -47,9 +47,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows written in the program.
+
+    Built from literals, so the planner knows they are small and broadcasts
+    them; a frame made from a Python list has no size estimate and would be
+    shuffled on its few keys.
+    """
+    columns = schemas.fields(schema)
+    cells = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
 def literal_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small dimension given as rows; its first column is numbered from 1."""
-    return spark.createDataFrame([(i, *row) for i, row in enumerate(rows, 1)], schema)
+    return literal_rows(spark, [(i, *row) for i, row in enumerate(rows, 1)], schema)
 
 
 def load_master(df: DataFrame) -> DataFrame:
