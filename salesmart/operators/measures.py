@@ -39,46 +39,64 @@ MEASURES: dict[str, Column | str] = {
 
 
 _AMOUNTS = ["_neto", "_bruto", "_margen", "_comision", "_neto_app", "_bruto_app"]
+_SUMMED = [*_SUMS, "_n_calif", "_n_min"]
+_PER_ORDER = {"_pedidos", "_pedidos_app"}
+_PER_CUSTOMER = {"_identificados", "_recurrentes"}
 
 
-def per_order(sales: DataFrame, *by: str, order: str = "nro_pedido") -> DataFrame:
-    """One row per order within each group: sums, counts and the order's customer."""
+def _needs(names: Sequence[str]) -> set[str]:
+    """Totals behind the chosen measures."""
+    parts: set[str] = set()
+    for name in names:
+        rule = MEASURES[name]
+        parts.update(rule if isinstance(rule, tuple) else (rule,))
+    return parts
+
+
+def _line_sums(sales: DataFrame) -> tuple[DataFrame, list[Column]]:
     external = F.col("origen") == EXTERNAL
     rows = sales.withColumns({
         "_neto_app": F.when(external, F.col("importe_neto")),
         "_bruto_app": F.when(external, F.col("importe_bruto")),
     })
-    return rows.groupBy(*by, order).agg(
-        *[F.sum(c).alias(name) for name, c in _SUMS.items()],
-        F.count("calificacion").alias("_n_calif"),
-        F.count("tiempo_entrega_min").alias("_n_min"),
-        F.max(external.cast("int")).alias("_app"),
-        F.min("id_cliente").alias("id_cliente"),
-        F.min("es_cliente_identificado").alias("_ident"),
-    )
+    sums = [F.sum(c).alias(name) for name, c in _SUMS.items() if c in rows.columns]
+    counts = [F.count("calificacion").alias("_n_calif"), F.count("tiempo_entrega_min").alias("_n_min")]
+    return rows, [*sums, *counts]
 
 
-def _in_units(df: DataFrame) -> DataFrame:
+def per_order(sales: DataFrame, *by: str, order: str = "nro_pedido") -> DataFrame:
+    """One row per order within each group: sums, counts and, where the rows
+    carry it, the order's customer (the same on all its lines)."""
+    rows, sums = _line_sums(sales)
+    customer = {"id_cliente": "id_cliente", "_ident": "es_cliente_identificado"}
+    own = [F.min(c).alias(name) for name, c in customer.items() if c in sales.columns]
+    app = F.max((F.col("origen") == EXTERNAL).cast("int")).alias("_app")
+    return rows.groupBy(*by, order).agg(*sums, app, *own)
+
+
+def in_units(df: DataFrame) -> DataFrame:
     """Amounts that came as whole cents turn into decimals."""
-    whole = [c for c in _AMOUNTS if isinstance(df.schema[c].dataType, T.LongType)]
+    whole = [c for c in _AMOUNTS if c in df.columns and isinstance(df.schema[c].dataType, T.LongType)]
     return df.withColumns({c: units(F.col(c)) for c in whole}) if whole else df
 
 
-def totals(sales: DataFrame, *by: str, order: str = "nro_pedido") -> DataFrame:
-    """Order -> customer -> group.  Each step shrinks the rows before the next
-    shuffle and distinct counts become plain counts, so no hot group is gathered.
+def _sum_again(df: DataFrame) -> list[Column]:
+    return [F.sum(c).alias(c) for c in [*_SUMMED, "_pedidos", "_pedidos_app"] if c in df.columns]
+
 
-    Amounts may be decimals, or whole cents as BIGINT.
+def totals(orders: DataFrame, *by: str, needs: set[str]) -> DataFrame:
+    """Group totals from one row per order and group.
+
+    Customer counts go over one row per customer first, so distinct counts are
+    plain counts and every step shrinks the rows before its shuffle.
     """
-    additive = [*_SUMS, "_n_calif", "_n_min"]
-    customers = _in_units(per_order(sales, *by, order=order).groupBy(*by, "id_cliente", "_ident").agg(
-        *[F.sum(c).alias(c) for c in additive],
-        F.count(F.lit(1)).alias("_pedidos"),
-        F.sum("_app").alias("_pedidos_app"),
-    ))
+    rows = orders.withColumns({"_pedidos": F.lit(1), "_pedidos_app": F.col("_app")})
+    if not needs & _PER_CUSTOMER:
+        return in_units(rows.groupBy(*by).agg(*_sum_again(rows)))
+    customers = in_units(rows.groupBy(*by, "id_cliente", "_ident").agg(*_sum_again(rows)))
     known = F.col("_ident") == 1
     return customers.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in [*additive, "_pedidos", "_pedidos_app"]],
+        *_sum_again(customers),
         F.count_if(known).alias("_identificados"),
         F.count_if(known & (F.col("_pedidos") >= 2)).alias("_recurrentes"),
     )
@@ -93,13 +111,24 @@ def _published(names: Sequence[str]) -> list[Column]:
     return columns
 
 
+def order_measures(orders: DataFrame, *by: str, names: Sequence[str] | None = None) -> DataFrame:
+    """``measures`` over rows already summed by ``per_order`` with keys out of ``by``."""
+    names = names or list(MEASURES)
+    return totals(orders, *by, needs=_needs(names)).select(*by, *_published(names))
+
+
 def measures(sales: DataFrame, *by: str, names: Sequence[str] | None = None,
              order: str = "nro_pedido") -> DataFrame:
     """The chosen measures (all by default) per group, or over everything.
 
-    ``order`` is the column that tells orders apart.
+    ``order`` is the column that tells orders apart.  Amounts may be decimals or
+    whole cents.  Measures without distinct counts never group by order.
     """
-    return totals(sales, *by, order=order).select(*by, *_published(names or list(MEASURES)))
+    names = names or list(MEASURES)
+    if _needs(names) & (_PER_ORDER | _PER_CUSTOMER):
+        return order_measures(per_order(sales, *by, order=order), *by, names=names)
+    rows, sums = _line_sums(sales)
+    return in_units(rows.groupBy(*by).agg(*sums)).select(*by, *_published(names))
 
 
 # Labels and order of the KPI report.
@@ -118,9 +147,9 @@ KPI_ROWS = [
 ]
 
 
-def kpi_table(sales: DataFrame, order: str = "nro_pedido") -> DataFrame:
-    """(kpi, valor) rounded to two digits."""
-    wide = measures(sales, order=order)
+def kpi_table(orders: DataFrame) -> DataFrame:
+    """(kpi, valor) rounded to two digits, from one row per order."""
+    wide = order_measures(orders)
     rows = [F.struct(F.lit(label).alias("kpi"),
                      F.round(F.col(name).cast("double") * scale, 2).alias("valor"))
             for label, name, scale in KPI_ROWS]
@@ -131,14 +160,11 @@ APP_PANEL = ["orders", "gross_sales", "commission", "commission_pct", "gross_mar
              "app_rating", "delivery_min"]
 
 
-def app_panel(sales: DataFrame, order: str = "nro_pedido") -> DataFrame:
-    """App measures per platform plus one total row; ``g_canal`` = 1 marks the total."""
-    apps = sales.filter(F.col("origen") == EXTERNAL)
-    additive = [*_SUMS, "_n_calif", "_n_min"]
-    by_channel = _in_units(per_order(apps, "canal", order=order).groupBy("canal").agg(
-        *[F.sum(c).alias(c) for c in additive], F.count(F.lit(1)).alias("_pedidos")))
-    rolled = by_channel.rollup("canal").agg(
-        *[F.sum(c).alias(c) for c in [*additive, "_pedidos"]], F.grouping("canal").alias("g_canal"))
+def app_panel(orders: DataFrame) -> DataFrame:
+    """App measures per platform plus one total row, from one row per order;
+    ``g_canal`` = 1 marks the total."""
+    by_channel = totals(orders.filter("_app = 1"), "canal", needs=_needs(APP_PANEL))
+    rolled = by_channel.rollup("canal").agg(*_sum_again(by_channel), F.grouping("canal").alias("g_canal"))
     return rolled.select("canal", "g_canal", *_published(APP_PANEL))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import calendar, money
 from ..operators import joins, olap, stats, volume, windows
-from ..operators.measures import EXTERNAL, measures
+from ..operators.measures import EXTERNAL, order_measures
 from ..sources.tables import Tables
 from . import bindings as b
 from .registry import query
@@ -118,7 +118,7 @@ REPEAT_SQL = """
 
 @query("a07_repeat_customer_rate", b.sql("sales", REPEAT_SQL))
 def _(t: Tables):
-    return measures(b.sales(t, dish=True, customer=True), names=["identified_customers", "repeat_pct"], order="ref")
+    return order_measures(b.by_ref(t, customer=True), names=["identified_customers", "repeat_pct"])
 
 
 def _grouping(keys: str) -> str:

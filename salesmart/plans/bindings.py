@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, money
-from ..operators import joins, quality, warehouse
+from ..operators import joins, measures, warehouse
 from ..operators.measures import EXTERNAL, INTERNAL
 from ..session import stage
 from ..sources.tables import Tables
@@ -363,6 +363,18 @@ def by_order(t: Tables, *extra: str, dish: bool = False) -> DataFrame:
     return joins.join_header(in_units(sums), heads(t))
 
 
+def by_ref(t: Tables, *extra: str, dish: bool = False, order: bool = False, customer: bool = False) -> DataFrame:
+    """One row per order reference for the KPI measures; headers and customers
+    join these rows instead of the lines."""
+    rows = with_dish(lines(t), t) if dish else lines(t)
+    rows = measures.per_order(rows, "id_pedido", *extra, order="ref")
+    if order or customer:
+        rows = joins.join_header(rows, heads(t))
+    if customer:
+        rows = rows.join(people(t), "id_cliente").withColumnRenamed("es_cliente_identificado", "_ident")
+    return rows
+
+
 # Star built from the OLTP bindings, kept per table directory ---------------------
 
 _STAR: dict[tuple[str, str], dict[str, DataFrame]] = {}

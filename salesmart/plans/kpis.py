@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import measures, olap, windows
 from ..sources.tables import Tables
@@ -28,29 +28,49 @@ RULES = {
 }
 
 
-def _sales(t: Tables):
-    return b.sales(t, dish=True, customer=True)
+LINE_KEYS = {"categoria", "nombre_plato"}
+ORDER_KEYS = {"anio", "trimestre", "mes_num", "anio_mes", "canal"}
+CUSTOMER_KEYS = {"distrito", "metodo_pago", "tipo_cliente"}
+USES_COST = {"gross_margin", "gross_margin_pct", "margin_per_order"}
+USES_CUSTOMER = {"identified_customers", "repeat_pct"}
+
+
+def report(t: Tables, names: list[str], *by: str) -> DataFrame:
+    """Measures at a grouping, joining only the dimensions they touch."""
+    line_keys = [k for k in by if k in LINE_KEYS]
+    rows = b.by_ref(
+        t, *line_keys, dish=bool(line_keys or USES_COST & set(names)), order=bool(ORDER_KEYS & set(by)),
+        customer=bool(CUSTOMER_KEYS & set(by) or USES_CUSTOMER & set(names)))
+    return measures.order_measures(rows, *by, names=names)
 
 
 def _measure(id_: str, name: str, *by: str) -> None:
     keys = "".join(f"{k}, " for k in by)
-    group = " GROUP BY ALL" if by else ""
 
-    @query(f"{id_}_{name}", b.sql("sales", f"SELECT {keys}{RULES[name]} AS {name} FROM sales{group}"))
+    @query(f"{id_}_{name}", b.sql("sales", f"SELECT {keys}{RULES[name]} AS {name} FROM sales GROUP BY ALL"))
+    def _(t: Tables):
+        return report(t, [name], *by)
+
+
+def _additive(id_: str, name: str, *by: str) -> None:
+    """Measures without distinct counts over dish attributes need no order grouping."""
+    keys = "".join(f"{k}, " for k in by)
+
+    @query(f"{id_}_{name}", b.sql("sales", f"SELECT {keys}{RULES[name]} AS {name} FROM sales GROUP BY ALL"))
     def _(t: Tables):
-        return measures.measures(_sales(t), *by, names=[name], order="ref")
+        return measures.measures(b.sales(t, dish=True), *by, names=[name])
 
 
 _measure("k01", "net_sales", "anio")
-_measure("k02", "gross_sales", "categoria")
+_additive("k02", "gross_sales", "categoria")
 _measure("k03", "orders", "canal")
 _measure("k04", "avg_ticket", "canal")
 _measure("k05", "gross_margin", "anio", "trimestre")
 _measure("k06", "gross_margin_pct", "canal")
 _measure("k07", "commission", "canal")
-_measure("k08", "app_rating", "categoria")
+_additive("k08", "app_rating", "categoria")
 _measure("k09", "delivery_min", "distrito")
-_measure("k10", "app_share", "categoria")
+_additive("k10", "app_share", "categoria")
 _measure("k11", "identified_customers", "distrito")
 _measure("k16", "app_orders", "metodo_pago")
 _measure("k17", "commission_pct", "canal")
@@ -63,7 +83,7 @@ REPEAT = """
 
 @query("k12_repeat_pct", b.sql("sales", REPEAT))
 def _(t: Tables):
-    return measures.measures(_sales(t), "distrito", names=["repeat_pct"], order="ref")
+    return report(t, ["repeat_pct"], "distrito")
 
 
 def _yearly(t: Tables):
@@ -112,7 +132,7 @@ KPI_SQL = {
     UNION ALL SELECT 'K7 Tasa de clientes recurrentes (%)', round(count(*) FILTER (WHERE n >= 2)::DOUBLE / count(*) * 100, 2)
     FROM (SELECT id_cliente, count(DISTINCT nro_pedido) AS n FROM sales WHERE es_cliente_identificado = 1 GROUP BY 1)"""))
 def _(t: Tables):
-    return measures.kpi_table(_sales(t), order="ref")
+    return measures.kpi_table(b.by_ref(t, dish=True, customer=True))
 
 
 PANEL = ", ".join(f"{RULES[name]} AS {name}" for name in measures.APP_PANEL)
@@ -121,6 +141,12 @@ PANEL = ", ".join(f"{RULES[name]} AS {name}" for name in measures.APP_PANEL)
 @query("k20_app_panel", b.sql("sales", f"""
     SELECT canal, CAST(grouping(canal) AS INT) AS g_canal, {PANEL} FROM (SELECT * FROM sales WHERE origen = 'CSV externo') GROUP BY ROLLUP (canal)"""))
 def _(t: Tables):
-    panel = measures.app_panel(b.sales(t, dish=True, order=True).withColumns(
-        {"es_cliente_identificado": F.lit(None).cast("int")}), order="ref")
+    panel = measures.app_panel(b.by_ref(t, dish=True, order=True))
     return panel.withColumn("g_canal", F.col("g_canal").cast("int"))
+
+
+@query("k_measures_by_category_channel", b.sql("sales", f"""
+    SELECT categoria, canal, {', '.join(f'{rule} AS {name}' for name, rule in RULES.items() if name != 'repeat_pct')} FROM sales GROUP BY ALL"""))
+def _(t: Tables):
+    rows = b.sales(t, dish=True, customer=True)
+    return measures.measures(rows, "categoria", "canal", names=[n for n in measures.MEASURES if n != "repeat_pct"], order="ref")

@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import quality
+from ..operators import intake, joins, quality
 from ..operators.audit import audit_rows
-from ..operators.intake import intake_orders
 
-OUTPUTS = ("pedidos", "detalle", "errores", "auditoria")
 
-
-def _write(df: DataFrame, path: str, table: str, batch_id: int) -> None:
+def _write(df: DataFrame, path: str, table: str, batch_id: int) -> DataFrame:
     """Each batch owns one folder, so a batch that runs again replaces only its own rows."""
-    df.write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
+    target = f"{path}/{table}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def _reject(df: DataFrame, table: str, key: str, reason: str) -> DataFrame:
+    return df.select(F.lit(table).alias("tabla"), F.col(key).cast("bigint").alias("id_registro"), F.lit(reason).alias("motivo"))
 
 
 def stream_intake(source: DataFrame, catalog: DataFrame, path: str, checkpoint: str,
@@ -23,27 +26,30 @@ def stream_intake(source: DataFrame, catalog: DataFrame, path: str, checkpoint:
     """Drain ``source`` through the order intake.
 
     ``split`` turns one micro-batch into (orders, lines).  A batch must carry
-    whole orders.  Good rows, rejects and audit rows land below ``path``.
+    whole orders.  Good rows, rejects and audit rows land below ``path``; the
+    decision on the orders is written first and the other outputs read it back
+    instead of deciding again.  A row in ``lotes`` marks a finished batch.
     """
-    def intake(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int) -> None:
         orders, lines = split(batch)
-        accepted, kept, errors = intake_orders(orders, lines, catalog)
-        good_orders, bad_orders = quality.validate_amounts(accepted, "quarantine")
-        good_lines, bad_lines = quality.validate_lines(kept, "quarantine")
-        rejects = errors.unionByName(
-            bad_orders.select(F.lit("Pedido").alias("tabla"), F.col("id_pedido").cast("bigint").alias("id_registro"),
-                              F.lit(quality.BAD_AMOUNT).alias("motivo"))
-        ).unionByName(
-            bad_lines.select(F.lit("Detalle_Pedido").alias("tabla"), F.col("id_detalle").cast("bigint").alias("id_registro"),
-                             F.lit(quality.BLOCKED_LINES).alias("motivo")))
-        _write(good_orders, path, "pedidos", batch_id)
-        _write(good_lines, path, "detalle", batch_id)
-        _write(rejects, path, "errores", batch_id)
-        _write(audit_rows(good_orders, "Alta de pedido", "id_pedido", "Pedido", None, F.col("monto_total")),
+        priced = intake.price_lines(lines, catalog)
+        decided, _ = intake.decide_orders(orders, priced)
+        good, bad = quality.validate_amounts(decided, "quarantine")
+        accepted = _write(good, path, "pedidos", batch_id)
+        refused = orders.select("id_pedido").join(accepted.select("id_pedido"), "id_pedido", "left_anti")
+        kept, mismatched = quality.validate_lines(intake.accepted_lines(priced, accepted), "quarantine")
+        _write(kept, path, "detalle", batch_id)
+        _write(
+            intake.intake_errors(priced, accepted, joins.find_orphans(refused, bad))
+            .unionByName(_reject(bad, "Pedido", "id_pedido", quality.BAD_AMOUNT))
+            .unionByName(_reject(mismatched, "Detalle_Pedido", "id_detalle", quality.BLOCKED_LINES)),
+            path, "errores", batch_id)
+        _write(audit_rows(accepted, "Alta de pedido", "id_pedido", "Pedido", None, F.col("monto_total")),
                path, "auditoria", batch_id)
+        _write(batch.sparkSession.range(1).select(F.lit("listo").alias("estado")), path, "lotes", batch_id)
 
     query = (
-        source.writeStream.foreachBatch(intake)
+        source.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start())
@@ -51,4 +57,6 @@ def stream_intake(source: DataFrame, catalog: DataFrame, path: str, checkpoint:
 
 
 def read_result(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{table}")
+    """Rows of finished batches only."""
+    done = spark.read.parquet(f"{path}/lotes").select("batch_id")
+    return spark.read.parquet(f"{path}/{table}").join(done, "batch_id", "left_semi")
