@@ -35,7 +35,7 @@ def norm_name(c: Column) -> Column:
 
 def is_valid_id(c: Column) -> Column:
     """True when the id document is exactly eight digits; NULL counts as invalid."""
-    return F.coalesce(c.rlike("^[0-9]{8}$"), F.lit(False))
+    return F.coalesce(c.rlike(r"\A[0-9]{8}\z"), F.lit(False))
 
 
 def valid_id_flag(c: Column) -> Column:

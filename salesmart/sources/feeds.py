@@ -72,10 +72,12 @@ def load_master(df: DataFrame) -> DataFrame:
     })
 
 
-def load_star(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Every star table below ``path``; empty CSV text is read as NULL."""
+def load_star(spark: SparkSession, path: str, fmt: str = "parquet",
+              names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The star tables below ``path`` (all by default); empty CSV text is read as NULL."""
     tables = {}
-    for name, schema in schemas.STAR.items():
+    for name in names or schemas.STAR:
+        schema = schemas.STAR[name]
         if fmt == "csv":
             reader = spark.read.schema(schema).option("header", True).option("nullValue", "").option("escape", '"')
             tables[name] = reader.csv(f"{path}/{name}")
