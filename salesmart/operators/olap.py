@@ -7,6 +7,7 @@ aggregate instead of the fact table.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -74,9 +75,19 @@ def slice_(df: DataFrame, column: str, member) -> DataFrame:
 
 
 def dice(df: DataFrame, year: int, quarter: int, categories: Sequence[str], payments: Sequence[str]) -> DataFrame:
-    return df.filter(
+    """Rows of one quarter, some categories and some payments.
+
+    Where the rows carry ``fecha`` the quarter is also given as a date range,
+    which reaches the scan.
+    """
+    kept = df.filter(
         (F.col("anio") == year) & (F.col("trimestre") == quarter)
         & F.col("categoria").isin(*categories) & F.col("metodo_pago").isin(*payments))
+    if "fecha" not in df.columns:
+        return kept
+    first = dt.date(year, 3 * quarter - 2, 1)
+    after = dt.date(year + quarter // 4, 3 * quarter % 12 + 1, 1)
+    return kept.filter((F.col("fecha") >= F.lit(first)) & (F.col("fecha") < F.lit(after)))
 
 
 def pivot_sums(df: DataFrame, row: str | Sequence[str], column: str, values: Sequence[str], measure: str) -> DataFrame:

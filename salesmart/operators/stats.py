@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stage
+
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(columna, valor): one row per cell of the chosen columns."""
@@ -37,6 +39,10 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapp
     counts per interval between cuts then tell which interval holds each wanted
     rank, and only distinct values inside those intervals are ranked.  A poor
     sketch makes an interval larger, never the answer wrong.
+
+    Three scans of the value column.  The cuts and the wanted ranks (a few
+    numbers per group) are staged, so the planner knows their real size and
+    joins them without shuffling the rows when there are few groups.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
@@ -47,7 +53,7 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapp
     sketch = rows.groupBy(*by).agg(
         F.percentile_approx("_v", [float(p) for p in probes], 10000).alias("_cuts"))
     keys = [F.col(f"_s_{c}").eqNullSafe(F.col(c)) for c in by]
-    cuts = sketch.select(*[F.col(c).alias(f"_s_{c}") for c in by], "_cuts")
+    cuts = stage(sketch.select(*[F.col(c).alias(f"_s_{c}") for c in by], "_cuts"), "cuts")
     above = [(F.col("_v") > F.element_at("_cuts", i + 1)).cast("int") for i in range(len(probes))]
     binned = rows.join(cuts, reduce(lambda a, b: a & b, keys)).select(
         *by, "_v", reduce(lambda a, b: a + b, above).alias("_bin"))
@@ -62,12 +68,11 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapp
         F.struct(F.lit(name).alias("name"),
                  F.greatest(F.lit(1), F.ceil(F.col("_total") * F.lit(float(p)))).alias("rank"))
         for name, p in points.items()]))
-    wanted = (
+    wanted = stage(
         totals.withColumn("_w", ranks)
         .filter((F.col("_w.rank") <= F.col("_upto")) & (F.col("_w.rank") > F.col("_upto") - F.col("_n")))
         .select(*by, "_bin", F.col("_w.name").alias("_name"),
-                (F.col("_w.rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"))
-    )
+                (F.col("_w.rank") - (F.col("_upto") - F.col("_n"))).alias("_rank")), "ranks")
 
     same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in [*by, "_bin"]])
     bins = wanted.select(*by, "_bin").distinct()

@@ -49,11 +49,9 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1
     gives the row count per partition, whose running sum shifts the numbers.
     The order must be total, or equal rows are numbered arbitrarily.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
     numbered = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -63,7 +61,7 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1
     })
     sizes = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per shuffle partition: the window and the broadcast are bounded by that setting.
+    # At most spark.sql.shuffle.partitions rows: that setting bounds the window and the broadcast.
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     key = (F.col("_before") + F.col("_pos") + F.lit(start)).cast("bigint")
     return staged.join(F.broadcast(offsets), "_part").select(key.alias(name), *columns)
@@ -72,9 +70,13 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1
 def share_within(df: DataFrame, measure: str, fixed: Sequence[str], name: str) -> DataFrame:
     """measure / total of the measure over rows that agree on ``fixed``.
 
-    ``df`` is an aggregate, one row per reported group.
+    ``df`` is an aggregate, one row per reported group.  The grand total is a
+    scalar subquery, so no task sees all rows.
     """
-    total = F.sum(measure).over(Window.partitionBy(*fixed) if fixed else Window.partitionBy(F.lit(1)))
+    if fixed:
+        total = F.sum(measure).over(Window.partitionBy(*fixed))
+    else:
+        total = df.agg(F.sum(measure)).scalar()
     return df.withColumn(name, F.try_divide(F.col(measure).cast("double"), total.cast("double")))
 
 
