@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-Environment: BENCH_SF_DIR (tables), BENCH_CPUS (cores), BENCH_RUNS (timed rounds,
-the median per query counts).  One untimed round over all queries comes first.
+Environment: BENCH_SF_DIR (tables), BENCH_CPUS (cores), BENCH_RUNS (timed runs
+per query, the median counts).  One untimed round over all queries comes first.
 """
 
 from __future__ import annotations
@@ -42,8 +42,7 @@ def main() -> None:
     jobs["etl_star"] = lambda: bindings.build_star(Tables(spark, sf_dir))
     for job in jobs.values():
         job()
-    rounds = [{name: once(job) for name, job in jobs.items()} for _ in range(runs)]
-    times = {name: round(statistics.median(r[name] for r in rounds), 3) for name in jobs}
+    times = {name: round(statistics.median(once(job) for _ in range(runs)), 3) for name, job in jobs.items()}
     session.clear_staging(spark)
     spark.stop()
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -36,6 +36,8 @@ def build(app: str = "salesmart", cores: str = "8", **conf: str) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cores)
+        # Compiled stages of all queries stay in the cache, not just the last hundred.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
