@@ -38,7 +38,9 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapp
     A bounded sketch proposes two cut values around each percentile.  Exact
     counts per interval between cuts then tell which interval holds each wanted
     rank, and only distinct values inside those intervals are ranked.  A poor
-    sketch makes an interval larger, never the answer wrong.
+    sketch makes an interval larger, never the answer wrong.  The cuts lie three
+    times the sketch's error apart from the wanted rank, so about 0.06 % of a
+    group's rows, before they are reduced to distinct values, reach the ranking.
 
     Three scans of the value column.  The cuts and the wanted ranks (a few
     numbers per group) are staged, so the planner knows their real size and
@@ -48,7 +50,7 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapp
     rows = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     if not by:
         by, rows = ["_all"], rows.withColumn("_all", F.lit(0))
-    margin = 0.002
+    margin = 0.0003
     probes = sorted({min(1.0, max(0.0, p + d)) for p in points.values() for d in (-margin, margin)})
     sketch = rows.groupBy(*by).agg(
         F.percentile_approx("_v", [float(p) for p in probes], 10000).alias("_cuts"))

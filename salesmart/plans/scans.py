@@ -211,9 +211,9 @@ def _(t: Tables):
     ])
     dropped = F.when(F.col("paso") == "T01", F.col("filas_in") - F.col("filas_out")).otherwise(F.col("filas_afectadas"))
     path = staging_dir(t.spark, "etl_log")
-    log.withColumn("filas_afectadas", dropped).write.mode("append").option("header", True).csv(path)
+    writers.write_step_log(log.withColumn("filas_afectadas", dropped), path)
     schema = "paso string, descripcion string, filas_in bigint, filas_out bigint, filas_afectadas bigint, marca_tiempo timestamp"
-    return feeds.read_csv(t.spark, path, schema).select("paso", "filas_in", "filas_out", "filas_afectadas")
+    return feeds.read_csv(t.spark, f"{path}/csv", schema).select("paso", "filas_in", "filas_out", "filas_afectadas")
 
 
 VIEW_SQL = """SELECT p_type AS categoria, count(*) AS lineas, CAST(sum(l_quantity) AS BIGINT) AS unidades

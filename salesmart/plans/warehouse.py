@@ -16,12 +16,6 @@ def _typed(table: str) -> str:
     return ", ".join(f"{c}::DOUBLE AS {c}" if t.startswith("decimal") else c for c, t in fields(STAR[table]))
 
 
-def _dim(id_: str, table: str, cte: str | None = None):
-    @query(f"{id_}_{table}", b.sql(cte or table, f"SELECT {_typed(table)} FROM {table}"))
-    def _(t: Tables):
-        return b.star(t)[table]
-
-
 @query("d01_dim_fecha", b.sql("dim_fecha", f"SELECT {_typed('dim_fecha')} FROM dim_fecha"))
 def _(t: Tables):
     return warehouse.build_dim_date(t.spark, b.DIM_FIRST, b.DIM_LAST, b.holidays(t))
@@ -42,9 +36,19 @@ def _(t: Tables):
     return warehouse.build_dim_employee(b.empleados(t))
 
 
-_dim("d05", "dim_metodo_pago")
-_dim("d05", "dim_canal")
-_dim("d05", "dim_turno")
+def _small(table: str, key: str) -> None:
+    """A small dimension with the fact lines of each of its members."""
+    @query(f"d05_{table}", b.sql(f"{table} fact_ventas", f"""
+        SELECT d.*, coalesce(n, 0) AS lineas FROM {table} d LEFT JOIN (SELECT {key}, count(*) AS n FROM fact_ventas GROUP BY 1) USING ({key})"""))
+    def _(t: Tables):
+        per_member = b.star(t)["fact_ventas"].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        dim = warehouse.build_small_dims(t.spark)[table]
+        return dim.join(per_member, key, "left").withColumn("lineas", F.coalesce("n", F.lit(0))).drop("n")
+
+
+_small("dim_metodo_pago", "sk_pago")
+_small("dim_canal", "sk_canal")
+_small("dim_turno", "sk_turno")
 
 BRANCH = [c for c in FACT_COLUMNS if c not in ("sk_venta", "margen_bruto")]
 AMOUNTS = {c for c, kind in fields(STAR["fact_ventas"]) if kind.startswith("decimal")}

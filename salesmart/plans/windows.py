@@ -83,10 +83,10 @@ def _(t: Tables):
     return windows.yoy(daily, ["fecha"], "net_sales")
 
 
-@query("t01_sort", "SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 100")
+@query("t01_sort", "SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey")
 def _(t: Tables):
     return t.orders.select("o_orderpriority", "o_orderkey", "o_totalprice").orderBy(
-        "o_orderpriority", F.desc("o_totalprice"), "o_orderkey").limit(100)
+        "o_orderpriority", F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("t02_top_units_in_month", b.sql("sales", """

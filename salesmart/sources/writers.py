@@ -44,6 +44,15 @@ def export_csv(df: DataFrame, path: str) -> None:
     as_export_text(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def write_step_log(log: DataFrame, path: str) -> None:
+    """Append the ETL step log as CSV and as one text line per step."""
+    log.write.mode("append").option("header", True).option("escape", '"').csv(f"{path}/csv")
+    line = F.format_string(
+        "%s [%s] %s | in=%d out=%d afectadas=%d", F.date_format("marca_tiempo", "yyyy-MM-dd HH:mm:ss"),
+        "paso", "descripcion", "filas_in", "filas_out", "filas_afectadas")
+    log.select(line.alias("value")).write.mode("append").text(f"{path}/text")
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     """Add rows to the audit log.  No update, delete or overwrite is offered."""
     df.write.mode("append").parquet(path)

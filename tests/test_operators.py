@@ -50,6 +50,18 @@ def test_surrogate_key_is_dense_and_ordered(spark):
     assert sorted(r.sk for r in got) == list(range(3, 5003))
 
 
+def test_surrogate_key_over_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).selectExpr("(id * 7919) % 3001 AS v", "'hot' AS g").repartition(5)
+        got = windows.surrogate_key(df, ["g", "v"], "sk")
+        assert len(got.inputFiles()) > 1
+        values = [r.v for r in sorted(got.collect(), key=lambda r: r.sk)]
+        assert values == sorted(values) and len(values) == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_surrogate_key_of_nothing(spark):
     empty = spark.createDataFrame([], "v int")
     assert windows.surrogate_key(empty, ["v"], "sk").count() == 0

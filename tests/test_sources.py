@@ -67,6 +67,16 @@ def test_load_master(spark):
     assert got == [("01234567", Decimal("1500.00")), ("87654321", None), ("00000009", None)]
 
 
+def test_step_log_as_csv_and_text(spark, tmp_path):
+    log = spark.sql("SELECT 'T01' AS paso, 'Quitar \"dobles\"' AS descripcion, 5L AS filas_in, 4L AS filas_out, 1L AS filas_afectadas, "
+                    "TIMESTAMP '2026-10-01 15:09:02' AS marca_tiempo")
+    writers.write_step_log(log, str(tmp_path))
+    text = spark.read.text(str(tmp_path / "text")).first().value
+    assert text == '2026-10-01 15:09:02 [T01] Quitar "dobles" | in=5 out=4 afectadas=1'
+    back = feeds.read_csv(spark, str(tmp_path / "csv"), "paso string, descripcion string, filas_in bigint")
+    assert tuple(back.first()) == ("T01", 'Quitar "dobles"', 5)
+
+
 def test_audit_log_only_grows(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = spark.createDataFrame([("a", "T", None, "1")], "accion string, tabla_afectada string, valor_anterior string, valor_nuevo string")
