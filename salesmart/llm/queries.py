@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import configure
 from .line_dedup import dedup_lines
 from .quality_rules import STOP_WORDS, quality_rules
+from .simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -64,6 +70,7 @@ FROM j GROUP BY doc_id""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
 }
