@@ -9,14 +9,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import configure
 from .decontaminate import contamination, n_covered
 from .line_dedup import dedup_lines
+from .mixing import mix, ranked_weights
 from .quality_rules import STOP_WORDS, quality_rules
 from .simhash import near_duplicates
+from .text import n_words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    taken, routes = mix(sized, F.col("size"), F.array("source"), ranked_weights)
+    # One source per document here: each pattern has one route.
+    taken = taken.join(F.broadcast(routes.select("pattern", "source_size", "target")), "pattern")
+    return taken.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
@@ -92,6 +103,7 @@ FROM j GROUP BY doc_id""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
