@@ -10,6 +10,7 @@ from ..session import configure
 from .decontaminate import contamination, n_covered
 from .line_dedup import dedup_lines
 from .mixing import mix, ranked_weights
+from .quality_mil import held_out, quality_scores
 from .quality_rules import STOP_WORDS, quality_rules
 from .simhash import near_duplicates
 from .text import n_words
@@ -28,6 +29,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
@@ -104,6 +111,7 @@ FROM j GROUP BY doc_id""",
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_quality_mil": op2_quality_mil,
     "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
