@@ -14,6 +14,7 @@ from .quality_mil import held_out, quality_scores
 from .quality_rules import STOP_WORDS, quality_rules
 from .simhash import near_duplicates
 from .text import n_words
+from .token_ids import token_ids
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,6 +36,16 @@ def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids(_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary()).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
@@ -112,6 +123,7 @@ FROM j GROUP BY doc_id""",
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality_mil": op2_quality_mil,
+    "op3_token_ids": op3_token_ids,
     "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
