@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
+from .chat_format import formatted_digests
 from .decontaminate import contamination, n_covered
 from .line_dedup import dedup_lines
 from .mixing import mix, ranked_weights
@@ -57,6 +58,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "base_failed", "kept")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return formatted_digests(turns.unionByName(added)).withColumnRenamed("conv", "conv_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -108,6 +116,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND n_symbols::DOUBLE / n_words <= 0.1 AND n_bangs::DOUBLE / n_words <= 0.2 AND n_stop::DOUBLE / n_words >= 0.05
   AND coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0) <= 0.5, true) AND n_repeat_words::DOUBLE / n_words <= 0.5 AS kept
 FROM b""",
+    "op7_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, '<turn:' || regexp_replace(role, '([\\<>])', '\\\1', 'g') || '>' || chr(10)
+  || regexp_replace(text, '([\\<>])', '\\\1', 'g') || '</turn>' || chr(10) AS made FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(made))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op8_line_dedup": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
@@ -126,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_ids": op3_token_ids,
     "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
 }
