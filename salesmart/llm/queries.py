@@ -16,6 +16,7 @@ from .quality_rules import STOP_WORDS, quality_rules
 from .simhash import near_duplicates
 from .text import n_words
 from .token_ids import token_ids
+from .url_reputation import Rule, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -52,6 +53,17 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+URL_RULES = [Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+             Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
+
+
+def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Outcomes of pages are the quality labels of the same number.
+    outcomes = _table(spark, sf_dir, "labels", "doc_id", "quality").select(F.col("doc_id").alias("page"), F.col("quality").alias("good"))
+    judged = judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), outcomes, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -94,6 +106,46 @@ t AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY it
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
   sha256(coalesce(t.items, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id""",
+    "op5_url_reputation": r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+l AS (SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+q AS (SELECT host, l.good, CASE WHEN regexp_matches(host, '(^|\.)(ac|co|com|edu|gov|net|org)\.[a-z][a-z]$')
+  THEN regexp_extract(host, '(?:^|\.)((?:ac|co|com|edu|gov|net|org)\.[a-z][a-z])$', 1) ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix
+  FROM p LEFT JOIN l ON l.page_id = p.page_id),
+d AS (SELECT *, left(host, greatest(length(host) - length(suffix) - 1, 0)) AS rest FROM q),
+h AS (SELECT host, suffix, CASE WHEN rest <> '' THEN regexp_extract(rest, '([^.]*)$', 1) || '.' || suffix ELSE host END AS domain,
+  count(good) AS n, coalesce(sum(good), 0) AS g FROM d GROUP BY ALL),
+dm AS (SELECT domain, suffix, sum(n) AS n, sum(g) AS g FROM h GROUP BY ALL),
+sf AS (SELECT suffix, sum(n) AS n, sum(g) AS g FROM dm GROUP BY ALL),
+ht AS (SELECT sum(n) AS n, sum(g) AS g, sum(g)::DOUBLE / nullif(sum(n), 0) AS m FROM h),
+hs AS (SELECT any_value(t.n) AS n, any_value(t.m) AS m, count(*) AS k, sum(x.n * x.n) AS nn, sum(x.n * pow(x.g::DOUBLE / x.n - t.m, 2)) AS s
+  FROM h x, ht t WHERE x.n > 0),
+hr AS (SELECT CASE WHEN m * (1 - m) * (n - nn::DOUBLE / n - (k - 1)) > 0
+  THEN (s - m * (1 - m) * (k - 1)) / (m * (1 - m) * (n - nn::DOUBLE / n - (k - 1))) ELSE 0 END AS rho FROM hs),
+hk AS (SELECT CASE WHEN rho > 0 THEN least(1000.0, greatest(2.0, 1 / rho - 1)) ELSE 1000.0 END AS k FROM hr),
+dmt AS (SELECT sum(n) AS n, sum(g) AS g, sum(g)::DOUBLE / nullif(sum(n), 0) AS m FROM dm),
+dms AS (SELECT any_value(t.n) AS n, any_value(t.m) AS m, count(*) AS k, sum(x.n * x.n) AS nn, sum(x.n * pow(x.g::DOUBLE / x.n - t.m, 2)) AS s
+  FROM dm x, dmt t WHERE x.n > 0),
+dmr AS (SELECT CASE WHEN m * (1 - m) * (n - nn::DOUBLE / n - (k - 1)) > 0
+  THEN (s - m * (1 - m) * (k - 1)) / (m * (1 - m) * (n - nn::DOUBLE / n - (k - 1))) ELSE 0 END AS rho FROM dms),
+dmk AS (SELECT CASE WHEN rho > 0 THEN least(1000.0, greatest(2.0, 1 / rho - 1)) ELSE 1000.0 END AS k FROM dmr),
+sft AS (SELECT sum(n) AS n, sum(g) AS g, sum(g)::DOUBLE / nullif(sum(n), 0) AS m FROM sf),
+sfs AS (SELECT any_value(t.n) AS n, any_value(t.m) AS m, count(*) AS k, sum(x.n * x.n) AS nn, sum(x.n * pow(x.g::DOUBLE / x.n - t.m, 2)) AS s
+  FROM sf x, sft t WHERE x.n > 0),
+sfr AS (SELECT CASE WHEN m * (1 - m) * (n - nn::DOUBLE / n - (k - 1)) > 0
+  THEN (s - m * (1 - m) * (k - 1)) / (m * (1 - m) * (n - nn::DOUBLE / n - (k - 1))) ELSE 0 END AS rho FROM sfs),
+sfk AS (SELECT CASE WHEN rho > 0 THEN least(1000.0, greatest(2.0, 1 / rho - 1)) ELSE 1000.0 END AS k FROM sfr),
+ms AS (SELECT suffix, (g + sfk.k * coalesce(sft.m, 0.5)) / (n + sfk.k) AS m FROM (SELECT * FROM sf) x, sfk, (SELECT m FROM sft) sft),
+md AS (SELECT x.domain, x.suffix, (x.g + dmk.k * ms.m) / (x.n + dmk.k) AS m FROM dm x JOIN ms ON ms.suffix = x.suffix, dmk),
+ab AS (SELECT h.host, hk.k * md.m + h.g AS a, hk.k * (1 - md.m) + h.n - h.g AS b FROM h JOIN md ON md.domain = h.domain AND md.suffix = h.suffix, hk),
+v AS (SELECT host, CASE WHEN a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) < 0.6 THEN 'block' ELSE 'allow' END AS verdict FROM ab),
+r(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+f AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+  row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS nth
+  FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT f.page_id, f.host, f.path, f.rule, coalesce(f.verdict, v.verdict) AS verdict FROM f JOIN v ON v.host = f.host WHERE nth = 1""",
     "op6_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
@@ -143,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_mil": op2_quality_mil,
     "op3_token_ids": op3_token_ids,
     "op4_simhash": op4_simhash,
+    "op5_url_reputation": op5_url_reputation,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
