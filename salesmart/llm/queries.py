@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import configure
 from .chat_format import formatted_digests
 from .decontaminate import contamination, n_covered
+from .licenses import license_scan
 from .line_dedup import dedup_lines
 from .mixing import mix, ranked_weights
 from .quality_mil import held_out, quality_scores
@@ -90,6 +91,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_paragraphs", "n_licensed", "families", "family", "probability")
+
+
 _STOP_SQL = ", ".join(f"'{w}'" for w in sorted({w for s in STOP_WORDS.values() for w in s.split()}))
 
 SQL = {
@@ -200,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat_format": op7_chat_format,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_license_scan": op10_license_scan,
 }
 
 
