@@ -6,6 +6,8 @@ beyond ASCII are all 128 or more, so a table over bytes is exact for UTF-8.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -30,6 +32,19 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64)
 
 
+def parts(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``most`` bytes of ``column``, a single long text alone, so that
+    the arrays over a slice's bytes stay small however many rows a batch has."""
+    if not batch.num_rows:
+        return
+    _, offsets = buffers(batch.column(column))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, admits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the number of words before each text (one more at the end)."""
     inside = admits[data]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .bytescan import INK, LOWER, buffers, spans, word_hashes
+from .bytescan import INK, LOWER, buffers, parts, spans, word_hashes
 
 PASSAGE = 48  # words
 MAX_TRAIN = 4_000  # labelled documents that are fitted on
@@ -112,7 +112,7 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, before: np.ndarray) -> dic
 
 
 def fit(features: np.ndarray, before: np.ndarray, labels: np.ndarray, epochs: int = 60, batch: int = 128, hidden: int = 16,
-        gate: int = 8, rate: float = 0.01, decay: float = 1e-4, enough: float = 0.002, seed: int = 3) -> Model:
+        gate: int = 8, rate: float = 0.01, decay: float = 1e-4, enough: float = 0.0005, seed: int = 3) -> Model:
     """Adam on the cross-entropy of documents; the two classes weigh the same.
 
     Ends after ``epochs``, or when an epoch's mean loss is below ``enough``.
@@ -184,9 +184,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features, before = encode(batch.column("text"))
-            blobs = [features[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array(blobs, pa.binary())], names=["k", "y", "x"])
+            for part in parts(batch, "text"):
+                features, before = encode(part.column("text"))
+                blobs = [features[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
+                yield pa.RecordBatch.from_arrays([part.column("k"), part.column("y"), pa.array(blobs, pa.binary())], names=["k", "y", "x"])
 
     # Repeated rows of an id are one document.
     bags = rows.mapInArrow(run, "k long, y int, x binary").groupBy("k").agg(F.max("y").alias("y"), F.max("x").alias("x")).toPandas().sort_values("k")
@@ -216,8 +217,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in parts(batch, "text"):
                 score = model.score(*encode(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("of"), pa.array(score, pa.float64())], names=["id", "of", "score"])
 
@@ -232,8 +232,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, bound: float = 0.3, doc_id: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in parts(batch, text):
                 yield part.filter(pa.array(model.score(*encode(part.column(text))) >= bound))
 
     return docs.mapInArrow(run, docs.schema)
