@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
-from .bytescan import LETTERS, LOWER, buffers, shingle_hashes, spans, word_hashes
+from .bytescan import LETTERS, LOWER, buffers, parts, shingle_hashes, spans, word_hashes
 from .text import packed, unpacked
 
 WIDTH = 3
@@ -51,7 +51,7 @@ def _windows(items: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
 
 def _filter(hashes: DataFrame, n: int) -> np.ndarray:
     """A bitmap with the places of all ``hash`` set; what is gathered is at most its own 8 MB."""
-    bits = int(np.clip(np.ceil(np.log2(max(1, n) * 16)), _LEAST_BITS, _MOST_BITS))
+    bits = int(np.clip(np.ceil(np.log2(max(1, n) * 256)), _LEAST_BITS, _MOST_BITS))
     words = (hashes.select(F.shiftrightunsigned("hash", 64 - bits).alias("place"))
              .selectExpr("place >> 6 AS at", "shiftleft(1L, CAST(place & 63 AS INT)) AS bit").groupBy("at").agg(F.bit_or("bit").alias("set")))
     bitmap = np.zeros(1 << (bits - 6), np.uint64)
@@ -80,11 +80,12 @@ def _counted(docs: DataFrame, bitmap, widths: list[int]) -> DataFrame:
     """``hash, n``: how often documents hold the shingles that pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column("text"))
-            starts, ends, first = spans(data, offsets, LETTERS)
-            words = word_hashes(data, starts, ends)
-            h = np.concatenate([h for _, h in _places(words, first, widths, bitmap.value)])
-            found, n = np.unique(h, return_counts=True)
+            seen = []
+            for part in parts(batch, "text"):
+                data, offsets = buffers(part.column("text"))
+                starts, ends, first = spans(data, offsets, LETTERS)
+                seen += [h for _, h in _places(word_hashes(data, starts, ends), first, widths, bitmap.value)]
+            found, n = np.unique(np.concatenate(seen) if seen else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
     return docs.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
@@ -96,21 +97,20 @@ def _probed(docs: DataFrame, bitmap, widths: list[int], size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column("text"))
-            starts, ends, first = spans(data, offsets, LETTERS)
-            words = word_hashes(data, starts, ends)
-            n_words = np.diff(first)
-            owner = np.repeat(np.arange(len(n_words)), n_words)
-            found: list[list[dict]] = [[] for _ in range(len(n_words))]
-            for at, h in _places(words, first, widths, bitmap.value):
-                for p, hash_ in zip(at.tolist(), h.view(np.int64).tolist()):
-                    doc = int(owner[p])
-                    lo, hi = max(int(first[doc]), p - size), min(int(first[doc + 1]), p + size)
-                    around = [bytes(LOWER[data[a:b]]).decode() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
-                    found[doc].append({"hash": hash_, "at": p - int(first[doc]), "before": p - lo, "around": around})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("of"), pa.array(n_words, pa.int64()), pa.array(found, kind)],
-                names=["id", "of", "n_words", "found"])
+            for part in parts(batch, "text"):
+                data, offsets = buffers(part.column("text"))
+                starts, ends, first = spans(data, offsets, LETTERS)
+                n_words = np.diff(first)
+                found: list[list[dict]] = [[] for _ in range(len(n_words))]
+                for at, h in _places(word_hashes(data, starts, ends), first, widths, bitmap.value):
+                    owner = np.searchsorted(first, at, "right") - 1
+                    for p, doc, hash_ in zip(at.tolist(), owner.tolist(), h.view(np.int64).tolist()):
+                        lo, hi = max(int(first[doc]), p - size), min(int(first[doc + 1]), p + size)
+                        around = [bytes(LOWER[data[a:b]]).decode() for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
+                        found[doc].append({"hash": hash_, "at": p - int(first[doc]), "before": p - lo, "around": around})
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("of"), pa.array(n_words, pa.int64()), pa.array(found, kind)],
+                    names=["id", "of", "n_words", "found"])
 
     return docs.mapInArrow(run, "id long, of long, n_words long, "
                            "found array<struct<hash:long,at:long,before:int,around:array<string>>>")
