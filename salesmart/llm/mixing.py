@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import stage
 from .text import n_words, packed
 
+_NOWHERE = object()  # None is a source
 CELL_BITS = 12
 MAX_PATTERNS = 100_000
 
@@ -60,8 +61,8 @@ def cheapest_flow(patterns: dict[tuple, int], quotas: dict, copies: int) -> dict
         for p in patterns:
             while spare[p] > least:
                 # Breadth first over sources; flow that another pattern sends to a full source can move on.
-                came: dict = {s: (p, None) for s in p}
-                queue, end = deque(p), None
+                came: dict = {s: (p, _NOWHERE) for s in p}
+                queue, end = deque(p), _NOWHERE
                 while queue:
                     s = queue.popleft()
                     if room.get(s, 0.0) > least:
@@ -73,16 +74,16 @@ def cheapest_flow(patterns: dict[tuple, int], quotas: dict, copies: int) -> dict
                                 if t not in came:
                                     came[t] = (other, s)
                                     queue.append(t)
-                if end is None:
+                if end is _NOWHERE:
                     break
                 amount, s = min(spare[p], room[end]), end
-                while came[s][1] is not None:
+                while came[s][1] is not _NOWHERE:
                     amount, s = min(amount, flow[came[s][0]][came[s][1]]), came[s][1]
                 s = end
                 while True:
                     other, back = came[s]
                     flow[other][s] += amount
-                    if back is None:
+                    if back is _NOWHERE:
                         break
                     flow[other][back] -= amount
                     s = back
@@ -102,8 +103,9 @@ def mix(docs: DataFrame, size, sources, weights: Callable[[list], dict], doc_id:
     out by ``capped_targets``.
 
     First result: one row per input row, with ``row`` (the input as a struct),
-    ``size``, ``pattern`` and ``copies`` (0 to ``most``).  Second: ``pattern``,
-    ``source``, ``words``, ``source_size``, ``target``.
+    ``size``, ``pattern`` (its sources, each with an s before it, n for null) and
+    ``copies`` (0 to ``most``).  Second: ``pattern``, ``source``, ``words``,
+    ``source_size``, ``target``.
 
     Every row of a pattern is taken as often as the flow covers the pattern in
     full; the rest goes once more to rows in the order of a seeded hash of id and
@@ -116,14 +118,16 @@ def mix(docs: DataFrame, size, sources, weights: Callable[[list], dict], doc_id:
     is found by sums over hash cells, narrowed twice, so a source with a third of
     all rows is never sorted or gathered.
     """
-    rows = packed(docs, size=F.coalesce(size.cast("long"), F.lit(0)), pattern=F.array_sort(F.array_distinct(
-        F.coalesce(sources.cast("array<string>"), F.array().cast("array<string>")))),
-        h=F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), size))
+    # Arrays with nulls are never equal in a join, so sources are marked: n for null, else s and the name.
+    marked = F.transform(F.coalesce(sources.cast("array<string>"), F.array().cast("array<string>")),
+                         lambda s: F.coalesce(F.concat(F.lit("s"), s), F.lit("n")))
+    rows = packed(docs, size=F.coalesce(size.cast("long"), F.lit(0)), pattern=F.array_sort(F.array_distinct(marked)),
+                  h=F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), size))
     rows = stage(rows, "mix-rows")
     sums = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} sets of sources; mix groups of sources")
-    patterns = {tuple(r["pattern"]): int(r["size"]) for r in sums if r["pattern"]}
+    patterns = {tuple(None if s == "n" else s[1:] for s in r["pattern"]): int(r["size"]) for r in sums if r["pattern"]}
     total: dict = {}
     for p, n in patterns.items():
         for s in p:
@@ -135,13 +139,14 @@ def mix(docs: DataFrame, size, sources, weights: Callable[[list], dict], doc_id:
     flow = cheapest_flow(patterns, quotas, most)
 
     spark = docs.sparkSession
+    mark = lambda p: sorted("n" if s is None else "s" + s for s in p)
     plan = []
     for p, n in patterns.items():
         used = sum(flow[p].values())
         full = min(most, int((used + 1e-3) // n)) if n else 0
-        plan.append((list(p), full, max(0.0, used - full * n) if full < most else 0.0))
+        plan.append((mark(p), full, max(0.0, used - full * n) if full < most else 0.0))
     plan_df = F.broadcast(spark.createDataFrame(plan, "pattern array<string>, full int, rest double"))  # at most MAX_PATTERNS rows
-    routes = spark.createDataFrame([(list(p), s, w, total[s], quotas[s]) for p in patterns for s, w in flow[p].items()],
+    routes = spark.createDataFrame([(mark(p), s, w, total[s], quotas[s]) for p in patterns for s, w in flow[p].items()],
                                    "pattern array<string>, source string, words double, source_size long, target double")
 
     cell = lambda k: F.expr(f"shiftrightunsigned(h, {64 - k * CELL_BITS}) & {(1 << CELL_BITS) - 1}")
