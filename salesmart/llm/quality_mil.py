@@ -55,6 +55,8 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     some = np.maximum(words, 1)
     # Bytes: the class shares of a passage, as counts per letter.  A byte belongs to the last word begun before it.
     step = 1 << 22
+    new_text = np.zeros(len(data) + 1, bool)
+    new_text[offsets] = True
     counts = np.zeros(total * (len(_CLASSES) + 1))
     pairs = np.zeros(total * _BINS)
     for lo in range(0, len(data), step):
@@ -69,7 +71,7 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         counts += np.bincount(passage[good] * (len(_CLASSES) + 1) + kind[good], minlength=len(counts))
         low = LOWER[part].astype(np.int64)
         bins = (low[:-1] * 31 + low[1:] * 17) % _BINS
-        good = good[: len(bins)]
+        good = good[: len(bins)] & ~new_text[lo + 1: lo + 1 + len(bins)]  # a pair lies in one text
         pairs += np.bincount(passage[: len(bins)][good] * _BINS + bins[good], minlength=len(pairs))
     counts = counts.reshape(total, -1)
     letters = np.maximum(counts.sum(axis=1, keepdims=True), 1)
