@@ -2,34 +2,62 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-_BLANKS = " \t\n\r\x0b\x0c"
+# White space that Unicode strips, as far as decomposition leaves it.
+_BLANKS = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+_HANGUL = range(0xAC00, 0xD7A4)  # syllables stay whole: both sides of a comparison keep them alike
 
 
-def _accent_table() -> tuple[str, str]:
-    """Latin letters that decompose to one plain letter, and those plain letters."""
-    accented, plain = [], []
-    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
-        decomposed = unicodedata.normalize("NFKD", chr(code))
-        base = "".join(ch for ch in decomposed if not unicodedata.combining(ch))
-        if len(base) == 1 and base != chr(code):
-            accented.append(chr(code))
-            plain.append(base)
-    return "".join(accented), "".join(plain)
+def _decompositions() -> dict[str, str]:
+    """Every character whose compatibility decomposition, without combining marks, is another text; empty for a mark."""
+    found = {}
+    for code in range(0x80, sys.maxunicode + 1):
+        if code not in _HANGUL and not 0xD800 <= code < 0xE000:
+            ch = chr(code)
+            base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+            if base != ch:
+                found[ch] = base
+    return found
 
 
-ACCENTED, PLAIN = _accent_table()
+_BASE = _decompositions()
+# Letters first: what has no counterpart in PLAIN is taken out.
+ACCENTED = "".join(c for c, base in sorted(_BASE.items(), key=lambda m: not m[1]) if len(base) < 2)
+PLAIN = "".join(base for base in _BASE.values() if len(base) == 1)
+_LONGER = {c: base for c, base in _BASE.items() if len(base) > 1}
+
+
+def _class_of(chars) -> str:
+    """A regular expression class of some characters, as ranges."""
+    codes, spans = sorted(map(ord, chars)), []
+    for c in codes:
+        if spans and c == spans[-1][1] + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
+
+
+_LONGER_CLASS = _class_of(_LONGER)
+
+
+def _spelled_out(c: Column) -> Column:
+    """Ligatures, fractions and the like as their letters; only texts that have such characters are looked at."""
+    table = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in _LONGER.items() if "'" not in v and "\\" not in v) + ")"
+    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(F.expr(table), ch), ch))
+    return F.when(c.rlike(_LONGER_CLASS), F.array_join(letters, "")).otherwise(c)
 
 
 def norm_name(c: Column) -> Column:
-    """Spelling-insensitive name: no accents, lower case, trimmed, one spelling of ceviche.
+    """Spelling-insensitive name: compatibility forms decomposed, no accents, lower case, trimmed, one spelling of ceviche.
 
     Letters written as base + combining mark lose the mark too.
     """
-    plain = F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"\p{M}+", "")
+    plain = F.translate(_spelled_out(c), ACCENTED, PLAIN)
     return F.replace(F.trim(F.lower(plain), F.lit(_BLANKS)), F.lit("cebiche"), F.lit("ceviche"))
 
 

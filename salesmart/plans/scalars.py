@@ -18,11 +18,9 @@ def _(t: Tables):
     return b.feed(t).select("order_ref", "copia", text.norm_name(F.col("plato")).alias("nombre"))
 
 
-@query("f01_norm_text", r"""
-    SELECT doc_id, replace(trim(lower(strip_accents(regexp_replace(text, '[^A-Za-zÀ-ÖØ-öø-ÿ0-9 .,]', '', 'g')))), 'cebiche', 'ceviche') AS nombre FROM documents""")
+@query("f01_norm_text", f"SELECT doc_id, {b._NORM.format('text')} AS nombre FROM documents")
 def _(t: Tables):
-    latin = F.regexp_replace("text", "[^A-Za-zÀ-ÖØ-öø-ÿ0-9 .,]", "")
-    return t.documents.select("doc_id", text.norm_name(latin).alias("nombre"))
+    return t.documents.select("doc_id", text.norm_name(F.col("text")).alias("nombre"))
 
 
 @query("f02_hash_id", b.sql("clientes", f"SELECT id_cliente, upper(sha256('{b.SALT}' || dni)) AS dni_hash FROM clientes"))
