@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import intake, joins, quality
@@ -21,32 +22,61 @@ def _reject(df: DataFrame, table: str, key: str, reason: str) -> DataFrame:
     return df.select(F.lit(table).alias("tabla"), F.col(key).cast("bigint").alias("id_registro"), F.lit(reason).alias("motivo"))
 
 
+REPEATED = "El pedido ya fue procesado"
+
+
+def _finished(spark: SparkSession, path: str, before: int) -> list[int]:
+    """Numbers of the finished batches before this one; one row per batch is read."""
+    try:
+        done = spark.read.parquet(f"{path}/lotes").select("batch_id").distinct()
+    except AnalysisException as error:  # no batch yet
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r[0] for r in done.collect() if r[0] < before)
+
+
 def stream_intake(source: DataFrame, catalog: DataFrame, path: str, checkpoint: str,
                   split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> None:
     """Drain ``source`` through the order intake.
 
-    ``split`` turns one micro-batch into (orders, lines).  A batch must carry
-    whole orders.  Good rows, rejects and audit rows land below ``path``; the
-    decision on the orders is written first and the other outputs read it back
-    instead of deciding again.  A row in ``lotes`` marks a finished batch.
+    ``split`` turns one micro-batch into (orders, lines); the caller bounds a
+    batch by the options of its source.  Good rows, rejects and audit rows land
+    below ``path``; the priced lines and the decision on the orders are written
+    first, and the other outputs read them back.  A row in ``lotes`` marks a
+    finished batch.
+
+    An order is decided once, by the first batch that holds lines of it.  Lines
+    of an order that an earlier batch has decided, accepted or refused, are not
+    taken; the repeated order is logged.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         orders, lines = split(batch)
-        priced = intake.price_lines(lines, catalog)
+        earlier = _finished(spark, path, batch_id)
+        repeated = None
+        if earlier:
+            known = spark.read.parquet(*[f"{path}/decididos/batch_id={n}" for n in earlier])
+            repeated = orders.join(known, "id_pedido", "left_semi").select("id_pedido").distinct()
+            orders, lines = (df.join(known, "id_pedido", "left_anti") for df in (orders, lines))
+        priced = _write(intake.price_lines(lines, catalog), path, "cotizado", batch_id)
         decided, _ = intake.decide_orders(orders, priced)
         good, bad = quality.validate_amounts(decided, "quarantine")
         accepted = _write(good, path, "pedidos", batch_id)
-        refused = orders.select("id_pedido").join(accepted.select("id_pedido"), "id_pedido", "left_anti")
+        seen = _write(orders.select("id_pedido").distinct(), path, "decididos", batch_id)
+        refused = seen.join(accepted.select("id_pedido"), "id_pedido", "left_anti")
         kept, mismatched = quality.validate_lines(intake.accepted_lines(priced, accepted), "quarantine")
         _write(kept, path, "detalle", batch_id)
-        _write(
+        errors = (
             intake.intake_errors(priced, accepted, joins.find_orphans(refused, bad))
             .unionByName(_reject(bad, "Pedido", "id_pedido", quality.BAD_AMOUNT))
-            .unionByName(_reject(mismatched, "Detalle_Pedido", "id_detalle", quality.BLOCKED_LINES)),
-            path, "errores", batch_id)
+            .unionByName(_reject(mismatched, "Detalle_Pedido", "id_detalle", quality.BLOCKED_LINES)))
+        if repeated is not None:
+            errors = errors.unionByName(_reject(repeated, "Pedido", "id_pedido", REPEATED))
+        _write(errors, path, "errores", batch_id)
         _write(audit_rows(accepted, "Alta de pedido", "id_pedido", "Pedido", None, F.col("monto_total")),
                path, "auditoria", batch_id)
-        _write(batch.sparkSession.range(1).select(F.lit("listo").alias("estado")), path, "lotes", batch_id)
+        _write(spark.range(1).select(F.lit("listo").alias("estado")), path, "lotes", batch_id)
 
     query = (
         source.writeStream.foreachBatch(run)

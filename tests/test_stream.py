@@ -40,3 +40,34 @@ def test_batches_add_up_and_rerun_cleanly(spark, tmp_path):
     drain("c2")
     assert result("pedidos", "id_pedido") == [(100,), (102,)]
     assert len(result("detalle", "id_detalle")) == 2
+
+
+def test_an_order_is_decided_once(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    menu = spark.createDataFrame([(1, 28)], "id_plato bigint, p int").select("id_plato", F.col("p").cast("decimal(12,2)").alias("precio_base"))
+
+    def split(batch):
+        return batch.select("id_pedido", F.lit(None).cast("bigint").alias("id_cliente")).distinct(), batch
+
+    def drain(checkpoint="c"):
+        stream_intake(spark.readStream.schema(LINES).option("maxFilesPerTrigger", 1).parquet(source), menu, out, str(tmp_path / checkpoint), split)
+
+    def result(table, *columns):
+        return sorted(tuple(r) for r in read_result(spark, out, table).select(*columns).collect())
+
+    # Order 100 is split over two files, 101 is refused first and then repeated, 102 is new.
+    for rows in ([(1, 100, 1, 2), (2, 101, 9, 1)], [(3, 100, 1, 1), (4, 101, 1, 1), (5, 102, 1, 1)]):
+        spark.createDataFrame(rows, LINES).coalesce(1).write.mode("append").parquet(source)
+        drain()
+    want = [(100, 56), (102, 28)]
+    assert result("pedidos", "id_pedido", F.col("monto_total").cast("int")) == want
+    assert result("detalle", "id_detalle") == [(1,), (5,)]
+    errors = result("errores", "id_registro", "motivo")
+    assert [i for i, m in errors if m == "El pedido ya fue procesado"] == [100, 101]
+    assert [i for i, m in errors if m == "El pedido no tiene líneas válidas"] == [101]
+
+    shutil.copytree(tmp_path / "c", tmp_path / "c2")
+    (tmp_path / "c2" / "commits" / "1").unlink()
+    (tmp_path / "c2" / "commits" / ".1.crc").unlink(missing_ok=True)
+    drain("c2")  # the last batch again
+    assert result("pedidos", "id_pedido", F.col("monto_total").cast("int")) == want and result("errores", "id_registro", "motivo") == errors
