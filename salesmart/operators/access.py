@@ -10,26 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import masks
 
 
-class AccessDenied(Exception):
-    pass
-
-
 # Roles.
 ADMIN, ANALYST, AUDITOR = "Rol_Administrador", "Rol_AnalistaDatos", "Rol_Auditor"
 SELLER, CUSTOMER, KITCHEN, OWNER = "Rol_Vendedor", "Rol_Cliente", "Rol_Cocina", "db_owner"
 UNMASK = {ADMIN, OWNER}
 
-ALL = None
-# Readable tables per role; a list names the readable columns, ALL is every column.
-GRANTS: dict[str, dict[str, list[str] | None]] = {
-    ADMIN: {"pedido": ALL, "detalle_pedido": ALL, "cliente": ALL, "empleado": ALL, "plato": ALL, "log_auditoria": ALL},
-    ANALYST: {"vw_dw_cliente": ALL, "vw_dw_empleado": ALL, "pedido": ALL, "detalle_pedido": ALL, "plato": ALL},
-    AUDITOR: {"log_auditoria": ALL, "log_errores": ALL},
-    SELLER: {"plato": ALL, "cliente": ["id_cliente", "nombre", "apellido", "tipo_cliente"]},
-    CUSTOMER: {"vw_mispedidos": ALL, "plato": ALL},
-    KITCHEN: {"vw_pedidoscocina": ALL},
-}
-
 
 def pseudonymise(customers: DataFrame, salt: str) -> DataFrame:
     """Hashed id document and the non-identifying columns only; NULL ids stay NULL."""
@@ -71,13 +56,9 @@ def row_filter(df: DataFrame, mapping: DataFrame, user: str, roles: Collection[s
     return df.join(own, key, "left_semi")
 
 
-def role_view(tables: Mapping[str, DataFrame], role: str, table: str) -> DataFrame:
-    """A table as one role may read it; anything not granted is denied."""
-    granted = GRANTS.get(role, {})
-    if table not in granted:
-        raise AccessDenied(f"{role} may not read {table}")
-    columns = granted[table]
-    return tables[table] if columns is ALL else tables[table].select(*columns)
+def allowed_columns(df: DataFrame, allowed: Collection[str]) -> DataFrame:
+    """Only the columns on the list, in the table's order."""
+    return df.select(*[c for c in df.columns if c in allowed])
 
 
 def my_orders(orders: DataFrame, mapping: DataFrame, user: str, roles: Collection[str]) -> DataFrame:

@@ -74,15 +74,9 @@ def slice_(df: DataFrame, column: str, member) -> DataFrame:
     return df.filter(F.col(column) == member)
 
 
-def dice(df: DataFrame, year: int, quarter: int, categories: Sequence[str], payments: Sequence[str]) -> DataFrame:
-    """Rows of one quarter, some categories and some payments.
-
-    Where the rows carry ``fecha`` the quarter is also given as a date range,
-    which reaches the scan.
-    """
-    kept = df.filter(
-        (F.col("anio") == year) & (F.col("trimestre") == quarter)
-        & F.col("categoria").isin(*categories) & F.col("metodo_pago").isin(*payments))
+def in_quarter(df: DataFrame, year: int, quarter: int) -> DataFrame:
+    """Rows of one quarter; where the rows carry ``fecha``, a date range reaches the scan."""
+    kept = df.filter((F.col("anio") == year) & (F.col("trimestre") == quarter))
     if "fecha" not in df.columns:
         return kept
     first = dt.date(year, 3 * quarter - 2, 1)
@@ -90,6 +84,11 @@ def dice(df: DataFrame, year: int, quarter: int, categories: Sequence[str], paym
     return kept.filter((F.col("fecha") >= F.lit(first)) & (F.col("fecha") < F.lit(after)))
 
 
+def dice(df: DataFrame, year: int, quarter: int, categories: Sequence[str], payments: Sequence[str]) -> DataFrame:
+    """Rows of one quarter, some categories and some payments."""
+    return in_quarter(df.filter(F.col("categoria").isin(*categories) & F.col("metodo_pago").isin(*payments)), year, quarter)
+
+
 def pivot_sums(df: DataFrame, row: str | Sequence[str], column: str, values: Sequence[str], measure: str) -> DataFrame:
     """Sum of ``measure``; result columns are ``values`` in that order."""
     rows = [row] if isinstance(row, str) else list(row)
@@ -100,9 +99,11 @@ def pivot_sums(df: DataFrame, row: str | Sequence[str], column: str, values: Seq
 def pivot_margins(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
     """Pivot with a Total row and a Total column, rounded to two digits.
 
-    Totals are told from members by ``grouping()``, never by NULL.
+    ``values`` names the columns to show; totals count every member, shown or
+    not, without rows whose row or column member is NULL.  They are told from
+    members by ``grouping()``, never by NULL.
     """
-    kept = df.filter(F.col(row).isNotNull() & F.col(column).isin(*values))
+    kept = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
     cells = cube_sums(kept, [row, column], {"_m": measure})
     labelled = cells.select(
         F.when(F.col(f"g_{row}") == 1, TOTAL).otherwise(F.col(row)).alias(row),

@@ -32,63 +32,90 @@ def describe_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
 
 
-def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
-    """Exact discrete percentiles per group, without gathering a group in one task.
+RANKED_IN_ONE_TASK = 200_000  # distinct values of one interval that a task may put in order
+
 
-    A bounded sketch proposes two cut values around each percentile.  Exact
-    counts per interval between cuts then tell which interval holds each wanted
-    rank, and only distinct values inside those intervals are ranked.  A poor
-    sketch makes an interval larger, never the answer wrong.  The cuts lie three
-    times the sketch's error apart from the wanted rank, so about 0.06 % of a
-    group's rows, before they are reduced to distinct values, reach the ranking.
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, points: Mapping[str, float],
+                      most: int = RANKED_IN_ONE_TASK) -> DataFrame:
+    """Exact discrete percentiles per group, without gathering a group in one task.
 
-    Three scans of the value column.  The cuts and the wanted ranks (a few
-    numbers per group) are staged, so the planner knows their real size and
-    joins them without shuffling the rows when there are few groups.
+    Each round, a bounded sketch proposes cut values around every wanted rank,
+    and exact counts per interval between cuts tell which interval holds it.
+    Rounds go on inside these intervals until none has more than ``most``
+    values; only then are the distinct values of an interval ranked.  A round that
+    does not shrink an interval has met a value that most of its rows share, and
+    cuts the other values to a twentieth; after three such rounds few are left,
+    and equal values are counted before they are ranked.  A poor sketch costs
+    rounds, never the right answer.
+
+    The cuts and the wanted ranks (a few numbers per group) are staged, so the
+    planner knows their real size and joins them without shuffling the rows when
+    there are few groups.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     if not by:
         by, rows = ["_all"], rows.withColumn("_all", F.lit(0))
-    margin = 0.0003
-    probes = sorted({min(1.0, max(0.0, p + d)) for p in points.values() for d in (-margin, margin)})
-    sketch = rows.groupBy(*by).agg(
-        F.percentile_approx("_v", [float(p) for p in probes], 10000).alias("_cuts"))
-    keys = [F.col(f"_s_{c}").eqNullSafe(F.col(c)) for c in by]
-    cuts = stage(sketch.select(*[F.col(c).alias(f"_s_{c}") for c in by], "_cuts"), "cuts")
-    above = [(F.col("_v") > F.element_at("_cuts", i + 1)).cast("int") for i in range(len(probes))]
-    binned = rows.join(cuts, reduce(lambda a, b: a & b, keys)).select(
-        *by, "_v", reduce(lambda a, b: a + b, above).alias("_bin"))
-
-    running = Window.partitionBy(*by).orderBy("_bin")
-    totals = (
-        binned.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
-    )
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
     ranks = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"),
-                 F.greatest(F.lit(1), F.ceil(F.col("_total") * F.lit(float(p)))).alias("rank"))
+        F.struct(F.lit(name).alias("name"), F.greatest(F.lit(1), F.ceil(F.col("_total") * F.lit(float(p)))).alias("rank"))
         for name, p in points.items()]))
+    # One wanted rank per group and point, within the values above ``_low`` and up to ``_high`` (NULL: no bound).
+    bound = rows.schema["_v"].dataType
     wanted = stage(
-        totals.withColumn("_w", ranks)
-        .filter((F.col("_w.rank") <= F.col("_upto")) & (F.col("_w.rank") > F.col("_upto") - F.col("_n")))
-        .select(*by, "_bin", F.col("_w.name").alias("_name"),
-                (F.col("_w.rank") - (F.col("_upto") - F.col("_n"))).alias("_rank")), "ranks")
-
-    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in [*by, "_bin"]])
-    bins = wanted.select(*by, "_bin").distinct()
-    inside = binned.alias("r").join(bins.alias("b"), same("r", "b"), "left_semi")
-    counted = inside.groupBy(*by, "_bin", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    in_bin = Window.partitionBy(*by, "_bin").orderBy("_v")
-    placed = counted.withColumn("_upto", F.sum("_n").over(in_bin))
-    hits = placed.alias("p").join(wanted.alias("w"), same("p", "w")).filter(
-        (F.col("w._rank") <= F.col("p._upto")) & (F.col("w._rank") > F.col("p._upto") - F.col("p._n")))
+        sizes.withColumn("_w", ranks).select(
+            *by, F.col("_w.name").alias("_name"), F.col("_w.rank").cast("long").alias("_rank"), F.col("_total").alias("_n"),
+            F.lit(None).cast(bound).alias("_low"), F.lit(None).cast(bound).alias("_high"), F.lit(0).alias("_still")), "ranks")
+    while not wanted.filter((F.col("_n") > most) & (F.col("_still") < 3)).isEmpty():
+        wanted = _narrowed(rows, wanted, by)
+
+    inside = _inside(rows, wanted.select(*by, "_low", "_high").distinct(), by)
+    counted = inside.groupBy(*by, "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    placed = counted.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*by, "_low", "_high").orderBy("_v")))
+    hits = placed.alias("p").join(wanted.alias("w"), _same("p", "w", [*by, "_low", "_high"])).filter(
+        (F.col("w._rank") <= F.col("p._upto")) & (F.col("w._rank") > F.col("p._upto") - F.col("p._c")))
     picked = hits.groupBy(*[F.col(f"p.{c}").alias(c) for c in by]).agg(*[
         F.max(F.when(F.col("w._name") == name, F.col("p._v"))).alias(name) for name in points])
     return picked.drop("_all")
 
 
+def _same(a: str, b: str, columns: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns])
+
+
+def _inside(rows: DataFrame, intervals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with the intervals of their group that hold them."""
+    held = (F.coalesce(F.col("r._v") > F.col("i._low"), F.lit(True)) & F.coalesce(F.col("r._v") <= F.col("i._high"), F.lit(True)))
+    return rows.alias("r").join(intervals.alias("i"), _same("r", "i", by)).filter(held).select("r.*", "i._low", "i._high")
+
+
+def _narrowed(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The wanted ranks within narrower intervals."""
+    keys = [*by, "_low", "_high"]
+    inside = _inside(rows, wanted.select(*keys).distinct(), by)
+    # Cuts lie three times the sketch's error around the wanted ranks.
+    probes = [k / 20 for k in range(21)]
+    shares = wanted.select("_rank", "_n").distinct().collect() if wanted.count() <= 64 else []
+    for r in shares:
+        probes += [min(1.0, max(0.0, r["_rank"] / r["_n"] + d)) for d in (-0.0003, 0.0003)]
+    probes = sorted(set(probes))
+    sketch = inside.groupBy(*keys).agg(F.percentile_approx("_v", [float(p) for p in probes], 10000).alias("_cuts"))
+    cuts = stage(sketch, "cuts")
+    at = F.size(F.filter("_cuts", lambda c: F.col("_v") > c))
+    binned = inside.alias("x").join(cuts.alias("c"), _same("x", "c", keys)).select("x.*", "c._cuts").withColumn("_bin", at)
+    counts = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"), F.first("_cuts").alias("_cuts"))
+    counts = counts.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_bin")))
+    found = counts.alias("k").join(wanted.alias("w"), _same("k", "w", keys)).filter(
+        (F.col("w._rank") <= F.col("k._upto")) & (F.col("w._rank") > F.col("k._upto") - F.col("k._c")))
+    low = F.when(F.col("k._bin") > 0, F.element_at("k._cuts", F.greatest(F.col("k._bin"), F.lit(1)))).otherwise(F.col("k._low"))
+    high = F.when(F.col("k._bin") < F.size("k._cuts"), F.element_at("k._cuts", F.least(F.col("k._bin") + 1, F.size("k._cuts")))).otherwise(F.col("k._high"))
+    return stage(found.select(
+        *[F.col(f"k.{c}").alias(c) for c in by], F.col("w._name").alias("_name"),
+        (F.col("w._rank") - (F.col("k._upto") - F.col("k._c"))).alias("_rank"), F.col("k._c").alias("_n"),
+        low.alias("_low"), high.alias("_high"),
+        F.when(F.col("k._c") > 0.7 * F.col("w._n"), F.col("w._still") + 1).otherwise(0).alias("_still")), "ranks")
+
+
 def median_disc(df: DataFrame, by: Sequence[str], value: str, name: str = "mediana") -> DataFrame:
     return exact_percentiles(df, by, value, {name: 0.5})
 
@@ -135,12 +162,12 @@ def sum_if(df: DataFrame, by: Sequence[str], condition: Column, column: str, nam
 
 
 def joined_ids(df: DataFrame, column: str, width: int = 200) -> DataFrame:
-    """Ids in ascending order joined by commas, cut to ``width`` characters.
+    """Ids in ascending order joined by commas, cut to ``width`` characters; NULL ids are left out.
 
     Every id takes at least two characters with its comma, so ``width // 2 + 1``
     smallest ids already decide the text; only those reach the final task.
     """
-    first = df.select(column).orderBy(column).limit(width // 2 + 1)
+    first = df.select(column).filter(F.col(column).isNotNull()).orderBy(column).limit(width // 2 + 1)
     ids = F.transform(F.array_sort(F.collect_list(column)), lambda x: x.cast("string"))
     return first.agg(F.left(F.array_join(ids, ","), F.lit(width)).alias("ids"))
 

@@ -79,7 +79,7 @@ def _(t: Tables):
 
 @query("g08_role_view", b.sql("clientes", "SELECT id_cliente, nombre, apellido, tipo_cliente FROM clientes"))
 def _(t: Tables):
-    return access.role_view({"cliente": b.clientes(t), "plato": b.platos(t)}, access.SELLER, "cliente")
+    return access.allowed_columns(b.clientes(t), {"id_cliente", "nombre", "apellido", "tipo_cliente"})
 
 
 @query("g09_my_orders", b.sql("pedidos", """
