@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -221,6 +222,19 @@ FACT_KEYS = {
 }
 
 
+def missing_members(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(columna, faltantes): distinct keys of the fact that their dimension does not have, for all seven."""
+    fact = tables["fact_ventas"]
+    return reduce(DataFrame.unionByName, [
+        quality.check_fk(fact.select(key).distinct(), key, tables[dim], key) for key, dim in FACT_KEYS.items()])
+
+
+def check_star(tables: Mapping[str, DataFrame]) -> None:
+    """Stops on a fact row without one of its seven keys, or with a key its dimension does not have."""
+    quality.require_zero(quality.check_no_nulls(tables["fact_ventas"], list(FACT_KEYS)), "nulos", "claves nulas en fact_ventas")
+    quality.require_zero(missing_members(tables), "faltantes", "claves sin miembro en su dimensión")
+
+
 def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(medida, valor): rows per table, net total, customers without a hash."""
     counts = stats.table_counts(tables).select(

@@ -52,14 +52,12 @@ def _(t: Tables):
 def sales_by_category(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
     """Distinct orders, units, sales and margin per category over a date range.
 
-    One row per (order, category) is left before the order join, so distinct
-    orders are a plain count there.
+    Only lines of the range's orders are summed; one row per (order, category)
+    is left before the order join, so distinct orders are a plain count there.
     """
-    per_order = b.with_dish(b.lines(t), t).groupBy("id_pedido", "categoria").agg(
-        F.sum("cantidad").alias("cantidad"), F.sum("importe_neto").alias("importe_neto"), F.sum("margen_bruto").alias("margen_bruto"))
-    per_order = b.in_units(per_order)
     ranged = b.heads(t).filter(F.col("fecha").between(F.lit(first), F.lit(last)))
-    return joins.join_header(per_order, ranged).groupBy("categoria").agg(
+    per_order = b.by_order(t, "categoria", dish=True, orders=ranged)
+    return per_order.groupBy("categoria").agg(
         F.count(F.lit(1)).alias("pedidos"), F.sum("cantidad").alias("unidades"),
         F.sum("importe_neto").alias("ventas"), F.sum("margen_bruto").alias("margen_bruto"))
 

@@ -8,6 +8,7 @@ written separately on each side.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,18 +16,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import calendar, money
 from ..operators import joins, measures, warehouse
 from ..operators.measures import EXTERNAL, INTERNAL
-from ..session import stage
+from ..session import once
+from ..sources import schemas
 from ..sources.tables import Tables
 
 AS_OF = dt.date(2001, 8, 1)
 LOAD_DATE = dt.date(2026, 9, 28)
-DIM_FIRST, DIM_LAST = dt.date(1995, 1, 1), dt.date(2024, 12, 31)
 SALT = "mart-salt"
 
 SPARK = {"dmy": "date_format({0}, 'dd/MM/yyyy')", "k": "CAST(get_json_object(props, '$.k') AS INT)",
-         "div": "{0} div {1}", "words": "split({0}, ' ')"}
+         "div": "{0} div {1}", "words": "split({0}, ' ')", "sellers": "n_sellers", "dishes": "n_dishes"}
 DUCK = {"dmy": "strftime({0}, '%d/%m/%Y')", "k": "CAST(json_extract_string(props, '$.k') AS INT)",
-        "div": "{0} // {1}", "words": "string_split({0}, ' ')"}
+        "div": "{0} // {1}", "words": "string_split({0}, ' ')",
+        "sellers": "(SELECT count(*) FROM supplier)", "dishes": "(SELECT count(*) FROM part)"}
 
 
 def _dialect(d: dict[str, str]):
@@ -45,7 +47,7 @@ def pedidos_cols(f) -> dict[str, str]:
         "fecha_pedido": "CAST(o_orderdate AS DATE)",
         "hora_pedido": "CAST(11 + o_orderkey % 11 AS STRING) || ':30'",
         "id_cliente": "CASE WHEN o_orderkey % 13 = 0 THEN 9999 ELSE o_custkey + 10000 END",
-        "id_empleado": "1 + o_custkey % 10",
+        "id_empleado": f"1 + o_custkey % {f('sellers')}",
         "canal_interno": "CASE o_orderkey % 3 WHEN 0 THEN 'Salón' WHEN 1 THEN 'Para llevar' ELSE 'Delivery propio' END",
         "metodo_pago": "CASE o_orderkey % 4 WHEN 0 THEN 'Efectivo' WHEN 1 THEN 'Yape' WHEN 2 THEN 'Plin' ELSE 'Tarjeta' END",
         "monto_total": _money("o_totalprice"),
@@ -108,7 +110,7 @@ def feed_cols(f) -> dict[str, str]:
         "order_ref": "'EXT-' || CAST(event_id AS STRING)",
         "fecha_iso": "CAST(CAST(ts AS DATE) AS STRING)",
         "plataforma": "CASE WHEN user_id % 2 = 0 THEN 'PedidosYa' ELSE 'Rappi' END",
-        "plato": f"CASE event_id % 4 WHEN 0 THEN upper({name}) WHEN 1 THEN '  ' || {name} || ' ' "
+        "plato": f"CASE user_id % 4 WHEN 0 THEN upper({name}) WHEN 1 THEN '  ' || {name} || ' ' "
                  f"WHEN 2 THEN replace(replace({name}, 'e', 'é'), 'u', 'Ü') ELSE {name} END",
         "cantidad": "CAST(1 + event_id % 4 AS INT)",
         "precio_bruto": "CASE WHEN event_id % 40 = 0 THEN NULL ELSE CAST(value AS DECIMAL(12,2)) END",
@@ -148,7 +150,7 @@ def stg_pedido_cols(f) -> dict[str, str]:
                         f"ELSE {f('dmy', 'o_orderdate')} END",
         "hora_pedido": "CAST(11 + o_orderkey % 11 AS STRING) || ':30'",
         "id_cliente": "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 113 = 1 THEN 'abc' ELSE CAST(o_custkey AS STRING) END",
-        "id_empleado": "CAST(o_custkey % 10 AS STRING)",
+        "id_empleado": f"CAST(1 + o_custkey % {f('sellers')} AS STRING)",
         "canal_interno": "CASE o_orderkey % 3 WHEN 0 THEN 'Salón' WHEN 1 THEN 'Para llevar' ELSE 'Delivery propio' END",
         "metodo_pago": "CASE o_orderkey % 4 WHEN 0 THEN 'Efectivo' WHEN 1 THEN 'Yape' WHEN 2 THEN 'Plin' ELSE 'Tarjeta' END",
         "monto_total": f"CASE WHEN o_orderkey % 200 = 0 THEN '-' || {amount} WHEN o_orderkey % 200 = 100 THEN '0' "
@@ -191,8 +193,13 @@ def _select(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in cols.items()])
 
 
+def _with_count(df: DataFrame, of: DataFrame, name: str) -> DataFrame:
+    """``df`` with the number of rows of another table, a scalar subquery."""
+    return df.withColumn(name, of.agg(F.count(F.lit(1))).scalar())
+
+
 def pedidos(t: Tables) -> DataFrame:
-    return _select(t.orders, pedidos_cols(_SPARK))
+    return _select(_with_count(t.orders, t.supplier, "n_sellers"), pedidos_cols(_SPARK))
 
 
 def detalle(t: Tables) -> DataFrame:
@@ -224,15 +231,23 @@ def _repeat(df: DataFrame, every: int, **changes: str) -> DataFrame:
     return df.withColumn("copia", F.lit(1)).unionByName(again.withColumn("copia", F.lit(2)))
 
 
+def _with_dish_key(events: DataFrame, t: Tables) -> DataFrame:
+    """Events with the dish they name: keys run from 0, so every dish of the table can be named."""
+    return _with_count(events, t.part, "n_dishes").withColumn("dish_key", F.expr(DISH_KEY.format(_SPARK("dishes")))).alias("e")
+
+
+DISH_KEY = "(event_id * 7) % {0}"
+
+
 def feed(t: Tables) -> DataFrame:
     """Raw delivery feed with repeated refs; a repeat has lost its price."""
-    bought = t.events.filter("event_type = 'purchase'").alias("e")
-    named = bought.join(platos(t).alias("p"), F.expr("p.id_plato = (event_id * 7) % 200"))
+    bought = _with_dish_key(t.events.filter("event_type = 'purchase'"), t)
+    named = bought.join(platos(t).alias("p"), F.expr("p.id_plato = dish_key"))
     return _repeat(_select(named, feed_cols(_SPARK)), 91, precio_bruto="CAST(NULL AS DECIMAL(12,2))")
 
 
 def resenas(t: Tables) -> DataFrame:
-    named = t.events.alias("e").join(t.part.alias("p"), F.expr("p.p_partkey = (event_id * 7) % 200"))
+    named = _with_dish_key(t.events, t).join(t.part.alias("p"), F.expr("p.p_partkey = dish_key"))
     flat = _select(named, resenas_cols(_SPARK))
     visit = F.when(F.col("ocasion").isNotNull(), F.struct("acompanantes", "ocasion"))
     return flat.withColumn("visita", visit).drop("acompanantes", "ocasion")
@@ -240,7 +255,7 @@ def resenas(t: Tables) -> DataFrame:
 
 def stg_pedido(t: Tables) -> DataFrame:
     """Staged orders; every 97th comes twice, the repeat with another amount."""
-    return _repeat(_select(t.orders, stg_pedido_cols(_SPARK)), 97, monto_total="'1.00'")
+    return _repeat(_select(_with_count(t.orders, t.supplier, "n_sellers"), stg_pedido_cols(_SPARK)), 97, monto_total="'1.00'")
 
 
 def stg_detalle(t: Tables) -> DataFrame:
@@ -255,19 +270,36 @@ def stg_cliente(t: Tables) -> DataFrame:
 FIRST = ["copia"]
 
 
+def calendar_range(t: Tables) -> tuple[dt.date, dt.date]:
+    """Whole years from the first to the last date of orders, feed and load."""
+    days = t.orders.selectExpr("CAST(o_orderdate AS DATE) AS d").union(t.events.selectExpr("CAST(ts AS DATE) AS d"))
+    row = days.agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
+    known = [d for d in (row["a"], row["b"], LOAD_DATE) if d]
+    return dt.date(min(known).year, 1, 1), dt.date(max(known).year, 12, 31)
+
+
 def holidays(t: Tables) -> DataFrame:
-    """Fixed dates of the year, for every order year present in the tables."""
-    years = t.orders.selectExpr("year(o_orderdate) AS anio").union(t.events.selectExpr("year(ts) AS anio")).distinct()
-    fixed = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("n")) for m, d, n in HOLIDAYS]))
-    return years.withColumn("h", fixed).select(
-        F.make_date("anio", "h.m", "h.d").alias("fecha"), F.col("h.n").alias("feriado"))
+    """Fixed days and the two before Easter, for every year of the calendar."""
+    first, last = calendar_range(t)
+    years = t.spark.range(first.year, last.year + 1).selectExpr("CAST(id AS INT) AS anio").withColumn("pascua", F.expr(EASTER.format("date_add")))
+    fixed = F.array(*[F.struct(F.make_date(F.col("anio"), F.lit(m), F.lit(d)).alias("fecha"), F.lit(n).alias("feriado")) for m, d, n in HOLIDAYS])
+    moved = F.array(*[F.struct(F.date_sub("pascua", k).alias("fecha"), F.lit(n).alias("feriado")) for k, n in BEFORE_EASTER])
+    return years.select(F.inline(F.concat(fixed, moved)))
 
 
-# Public holidays that fall on the same date every year.
+# Public holidays that fall on the same date every year, and those some days before Easter.
 HOLIDAYS = [(1, 1, "Año Nuevo"), (5, 1, "Día del Trabajo"), (6, 7, "Batalla de Arica"),
-            (6, 29, "San Pedro y San Pablo"), (7, 28, "Fiestas Patrias"), (8, 30, "Santa Rosa de Lima"),
+            (6, 29, "San Pedro y San Pablo"), (7, 23, "Día de la Fuerza Aérea"), (7, 28, "Fiestas Patrias"),
+            (7, 29, "Fiestas Patrias"), (8, 6, "Batalla de Junín"), (8, 30, "Santa Rosa de Lima"),
             (10, 8, "Combate de Angamos"), (11, 1, "Todos los Santos"), (12, 8, "Inmaculada Concepción"),
-            (12, 25, "Navidad")]
+            (12, 9, "Batalla de Ayacucho"), (12, 25, "Navidad")]
+BEFORE_EASTER = [(3, "Jueves Santo"), (2, "Viernes Santo")]
+
+# Easter by Gauss' rule for 1900-2099: days after 22 March, a week less in its two exceptions.
+_D = "((19 * (anio % 19) + 24) % 30)"
+_E = f"((2 * (anio % 4) + 4 * (anio % 7) + 6 * {_D} + 5) % 7)"
+EASTER = (f"{{0}}(make_date(anio, 3, 22), CAST({_D} + {_E} - CASE WHEN {_E} = 6 AND ({_D} = 29 OR ({_D} = 28 AND anio % 19 > 10)) "
+          "THEN 7 ELSE 0 END AS INT))")
 
 
 # Sales view of the OLAP queries -------------------------------------------------
@@ -355,12 +387,17 @@ def by_dish(t: Tables, *extra: str) -> DataFrame:
     return in_units(with_dish(sums, t))
 
 
-def by_order(t: Tables, *extra: str, dish: bool = False) -> DataFrame:
-    """Lines summed per order (and other attributes) before the order join."""
-    rows = with_dish(lines(t), t) if dish else lines(t)
+def by_order(t: Tables, *extra: str, dish: bool = False, orders: DataFrame | None = None) -> DataFrame:
+    """Lines summed per order (and other attributes) before the order join.
+
+    ``orders`` are the chosen headers; lines of others are left out before
+    anything else, so only the chosen ones are shuffled on.
+    """
+    chosen = lines(t) if orders is None else lines(t).join(orders.select("id_pedido"), "id_pedido", "left_semi")
+    rows = with_dish(chosen, t) if dish else chosen
     added = [c for c in [*CENTS, "cantidad"] if c in rows.columns]
     sums = rows.groupBy("id_pedido", *extra).agg(*[F.sum(c).alias(c) for c in added])
-    return joins.join_header(in_units(sums), heads(t))
+    return joins.join_header(in_units(sums), heads(t) if orders is None else orders)
 
 
 def by_ref(t: Tables, *extra: str, dish: bool = False, order: bool = False, customer: bool = False) -> DataFrame:
@@ -375,36 +412,65 @@ def by_ref(t: Tables, *extra: str, dish: bool = False, order: bool = False, cust
     return rows
 
 
-# Star built from the OLTP bindings, kept per table directory ---------------------
+# Star built from the OLTP bindings, each table when it is first asked for ----------
 
-_STAR: dict[tuple[str, str], dict[str, DataFrame]] = {}
+class Star(Mapping):
+    """The star's tables by name; a table is built when it is first read, with what it needs.
 
+    Surrogate keys are staged by their operator; nothing is written a second time.
+    """
 
-def build_star(t: Tables) -> dict[str, DataFrame]:
-    """The whole ETL: clean feed, seven dimensions, integrated fact.
+    def __init__(self, t: Tables):
+        self._t, self._built, self._small = t, {}, warehouse.build_small_dims(t.spark)
 
-    The four built dimensions do not depend on each other, so their jobs are
-    submitted together.
-    """
-    builders = {
-        "dim_fecha": lambda: stage(warehouse.build_dim_date(t.spark, DIM_FIRST, DIM_LAST, holidays(t)), "dim_fecha"),
-        "dim_cliente": lambda: stage(warehouse.build_dim_customer(clientes(t), AS_OF, SALT), "dim_cliente"),
-        "dim_plato": lambda: stage(warehouse.build_dim_dish(platos(t)), "dim_plato"),
-        "dim_empleado": lambda: stage(warehouse.build_dim_employee(empleados(t)), "dim_empleado"),
-    }
-    with ThreadPoolExecutor(len(builders)) as pool:
-        started = {name: pool.submit(build) for name, build in builders.items()}
-    dims = {name: job.result() for name, job in started.items()} | warehouse.build_small_dims(t.spark)
-    internal = warehouse.build_fact_internal(detalle_cents(t), pedidos(t), dims)
-    external = warehouse.build_fact_external(warehouse.clean_feed(feed(t), platos(t), FIRST), dims)
-    return {**dims, "fact_ventas": stage(warehouse.build_fact(internal, external), "fact_ventas")}
+    def __iter__(self):
+        return iter(schemas.STAR)
+
+    def __len__(self) -> int:
+        return len(schemas.STAR)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._small[name] if name in self._small else getattr(self, f"_{name}")()
+        return self._built[name]
+
+    def build(self) -> "Star":
+        """All tables; the dimensions do not depend on each other, so their jobs are submitted together."""
+        dims = [name for name in self if name.startswith("dim_")]
+        with ThreadPoolExecutor(len(dims)) as pool:
+            list(pool.map(self.__getitem__, dims))
+        self["fact_ventas"]
+        return self
+
+    def _dim_fecha(self) -> DataFrame:
+        return warehouse.build_dim_date(self._t.spark, *calendar_range(self._t), holidays(self._t))
+
+    def _dim_cliente(self) -> DataFrame:
+        return warehouse.build_dim_customer(clientes(self._t), AS_OF, SALT)
+
+    def _dim_plato(self) -> DataFrame:
+        return warehouse.build_dim_dish(platos(self._t))
+
+    def _dim_empleado(self) -> DataFrame:
+        return warehouse.build_dim_employee(empleados(self._t))
+
+    def _fact_ventas(self) -> DataFrame:
+        t = self._t
+        internal = warehouse.build_fact_internal(detalle_cents(t), pedidos(t), self)
+        external = warehouse.build_fact_external(warehouse.clean_feed(feed(t), platos(t), FIRST), self)
+        return warehouse.build_fact(internal, external)
+
+
+def build_star(t: Tables) -> Star:
+    """The whole ETL: clean feed, seven dimensions, integrated fact, gates."""
+    built = Star(t).build()
+    warehouse.check_star(built)
+    return built
 
 
-def star(t: Tables) -> dict[str, DataFrame]:
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _STAR:
-        _STAR[key] = build_star(t)
-    return _STAR[key]
+def star(t: Tables) -> Star:
+    """This session's star of a folder, until its staged tables are cleared."""
+    return once(t.spark, ("star", t.sf_dir), lambda: Star(t))
 
 
 # ---------------------------------------------------------------- SQL side
@@ -420,7 +486,7 @@ def _again(cols: dict[str, str], source: str, every: int, changed: str, value: s
 
 
 _FEED_FROM = ("(SELECT * FROM events WHERE event_type = 'purchase') e "
-              "JOIN platos p ON p.id_plato = (event_id * 7) % 200")
+              f"JOIN platos p ON p.id_plato = {DISH_KEY.format(_DUCK('dishes'))}")
 
 def half_even(n: str, d: str) -> str:
     """SQL for n / d rounded half to even, whole numbers, n >= 0 and d > 0."""
@@ -428,7 +494,7 @@ def half_even(n: str, d: str) -> str:
     return f"({q} + CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q} % 2 = 1) THEN 1 ELSE 0 END)"
 
 
-_NORM = "replace(lower(trim(strip_accents({0}))), 'cebiche', 'ceviche')"
+_NORM = "replace(lower(trim(strip_accents({0}), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), 'cebiche', 'ceviche')"
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "pedidos": ((), f"SELECT {_cols(pedidos_cols(_DUCK))} FROM orders"),
@@ -437,13 +503,19 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "empleados": ((), f"SELECT {_cols(empleados_cols(_DUCK))} FROM supplier"),
     "platos": ((), f"SELECT {_cols(platos_cols(_DUCK))} FROM part"),
     "feed": (("platos",), _again(feed_cols(_DUCK), _FEED_FROM, 91, "precio_bruto", "CAST(NULL AS DECIMAL(12,2))")),
-    "resenas": ((), f"SELECT {_cols(resenas_cols(_DUCK))} FROM events e JOIN part p ON p.p_partkey = (event_id * 7) % 200"),
+    "resenas": ((), f"SELECT {_cols(resenas_cols(_DUCK))} FROM events e JOIN part p ON p.p_partkey = {DISH_KEY.format(_DUCK('dishes'))}"),
     "stg_pedido": ((), _again(stg_pedido_cols(_DUCK), "orders", 97, "monto_total", "'1.00'")),
     "stg_detalle": ((), f"SELECT {_cols(stg_detalle_cols(_DUCK))} FROM lineitem"),
     "stg_cliente": ((), _again(stg_cliente_cols(_DUCK), "customer", 41, "email", "'otro@mail.example'")),
-    "holidays": ((), "SELECT make_date(y.anio::INT, h.m, h.d) AS fecha, h.n AS feriado FROM "
-                     "(SELECT DISTINCT year(o_orderdate) AS anio FROM orders UNION SELECT DISTINCT year(ts) FROM events) y, "
-                     "(VALUES " + ", ".join(f"({m}, {d}, '{n}')" for m, d, n in HOLIDAYS) + ") h(m, d, n)"),
+    "calendar_range": ((), f"""
+        SELECT make_date(year(min(d)), 1, 1) AS primero, make_date(year(max(d)), 12, 31) AS ultimo FROM (
+          SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(ts AS DATE) FROM events UNION ALL SELECT DATE '{LOAD_DATE}')"""),
+    "holidays": (("calendar_range",),
+                 "SELECT make_date(anio, h.m, h.d) AS fecha, h.n AS feriado FROM (SELECT unnest(range(year(primero), year(ultimo) + 1))::INT AS anio FROM calendar_range), "
+                 "(VALUES " + ", ".join(f"({m}, {d}, '{n}')" for m, d, n in HOLIDAYS) + ") h(m, d, n) UNION ALL "
+                 "SELECT CAST(" + EASTER.format("date_add").replace("CAST(((19", "to_days(CAST(((19", 1).replace(" AS INT))", " AS INT)))", 1)
+                 + " - to_days(k) AS DATE), n FROM (SELECT unnest(range(year(primero), year(ultimo) + 1))::INT AS anio FROM calendar_range), "
+                 "(VALUES " + ", ".join(f"({k}, '{n}')" for k, n in BEFORE_EASTER) + ") m(k, n)"),
     # sales view
     "lines": ((), """
         SELECT *, CAST(importe_bruto - comision_plataforma AS DECIMAL(12,2)) AS importe_neto FROM (
@@ -471,13 +543,13 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM lines l JOIN dishes d USING (id_plato) JOIN orders ON o_orderkey = l.id_pedido
           JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"""),
     # star
-    "dim_fecha": (("holidays",), f"""
+    "dim_fecha": (("holidays", "calendar_range"), """
         SELECT CAST(strftime(f, '%Y%m%d') AS INT) AS sk_fecha, f AS fecha, year(f) AS anio, quarter(f) AS trimestre, month(f) AS mes_num,
           ['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Setiembre','Octubre','Noviembre','Diciembre'][month(f)] AS mes_nombre,
           strftime(f, '%Y-%m') AS anio_mes, weekofyear(f) AS semana_iso, day(f) AS dia_mes, isodow(f) AS dia_semana_num,
           ['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo'][isodow(f)] AS dia_semana,
           CAST(isodow(f) >= 6 AS INT) AS es_fin_semana, CAST(feriado IS NOT NULL AS INT) AS es_feriado, coalesce(feriado, '') AS nombre_feriado
-        FROM (SELECT CAST(range AS DATE) AS f FROM range(DATE '{DIM_FIRST}', DATE '{DIM_LAST}' + INTERVAL 1 DAY, INTERVAL 1 DAY))
+        FROM (SELECT CAST(unnest(range(primero, ultimo + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS f FROM calendar_range)
           LEFT JOIN holidays ON fecha = f"""),
     "dim_cliente": (("clientes",), f"""
         SELECT 1 AS sk_cliente, 9999 AS id_cliente_nk, 'C-PASO' AS cliente_seudonimo, NULL::VARCHAR AS dni_hash, 'N/A' AS distrito,

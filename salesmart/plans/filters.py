@@ -73,9 +73,9 @@ def _(t: Tables):
 
 
 @query("p08_today_orders", b.sql("pedidos", """
-    SELECT id_pedido, canal_interno, monto_total::DOUBLE AS monto_total FROM pedidos WHERE fecha_pedido = DATE '1997-05-28'"""))
+    SELECT id_pedido, canal_interno, monto_total::DOUBLE AS monto_total FROM pedidos WHERE fecha_pedido = DATE '1997-01-03'"""))
 def _(t: Tables):
-    return access.today_orders(b.pedidos(t), dt.date(1997, 5, 28)).select("id_pedido", "canal_interno", "monto_total")
+    return access.today_orders(b.pedidos(t), dt.date(1997, 1, 3)).select("id_pedido", "canal_interno", "monto_total")
 
 
 @query("p09_reject_amount", b.sql("stg_pedido", """

@@ -136,6 +136,6 @@ def _(t: Tables):
 
 @query("j14_kitchen_view", b.sql("detalle pedidos platos", """
     SELECT id_pedido, hora_pedido, canal_interno, nombre_plato, cantidad FROM pedidos JOIN detalle USING (id_pedido)
-    JOIN platos USING (id_plato) WHERE fecha_pedido = DATE '1997-05-28'"""))
+    JOIN platos USING (id_plato) WHERE fecha_pedido = DATE '1997-01-03'"""))
 def _(t: Tables):
-    return access.kitchen_view(b.pedidos(t), b.detalle(t), b.platos(t), dt.date(1997, 5, 28))
+    return access.kitchen_view(b.pedidos(t), b.detalle(t), b.platos(t), dt.date(1997, 1, 3))

@@ -47,7 +47,7 @@ def _(t: Tables):
     SELECT anio_mes, sum(importe_bruto)::DOUBLE AS ventas_brutas, sum(comision_plataforma)::DOUBLE AS comision, sum(importe_neto)::DOUBLE AS neto
     FROM sales WHERE canal = '2-HIGH' GROUP BY 1"""))
 def _(t: Tables):
-    sliced = olap.slice_(b.by_order(t), "canal", "2-HIGH")
+    sliced = b.by_order(t, orders=olap.slice_(b.heads(t), "canal", "2-HIGH"))
     return olap.sum_by(sliced, ["anio_mes"], {"ventas_brutas": "importe_bruto", "comision": "comision_plataforma", "neto": "importe_neto"})
 
 
@@ -56,8 +56,9 @@ DICED = "sales WHERE anio = 1996 AND trimestre = 1 AND categoria IN ('ECONOMY','
 
 
 def _diced(t: Tables) -> DataFrame:
-    rows = b.by_order(t, "categoria", dish=True).join(b.people(t).select("id_cliente", "metodo_pago"), "id_cliente")
-    return olap.dice(rows, 1996, 1, CATEGORIES, PAYMENTS)
+    payers = b.people(t).select("id_cliente", "metodo_pago").filter(F.col("metodo_pago").isin(*PAYMENTS))
+    orders = olap.in_quarter(b.heads(t).join(payers, "id_cliente"), 1996, 1)
+    return olap.dice(b.by_order(t, "categoria", dish=True, orders=orders), 1996, 1, CATEGORIES, PAYMENTS)
 
 
 @query("o04_dice_flat", b.sql("sales", f"SELECT categoria, metodo_pago, sum(importe_neto)::DOUBLE AS ventas_netas FROM {DICED} GROUP BY 1, 2"))
@@ -89,44 +90,52 @@ def _(t: Tables):
 
 @query("o07_monthly_line", b.sql("sales", "SELECT anio_mes, sum(importe_neto)::DOUBLE AS ventas, sum(margen_bruto)::DOUBLE AS margen FROM sales GROUP BY 1"))
 def _(t: Tables):
-    return dashboard_feeds(t)["mes"]
+    return dashboard_feed(t, "mes")
 
 
 @query("o07_top_dishes", b.sql("sales", "SELECT nombre_plato, sum(importe_neto)::DOUBLE AS ventas FROM sales GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"))
 def _(t: Tables):
-    return dashboard_feeds(t)["top"]
+    return dashboard_feed(t, "top")
 
 
 @query("o07_channel_ring", b.sql("sales", """
     SELECT canal, sum(importe_neto)::DOUBLE AS ventas, sum(importe_neto)::DOUBLE / (sum(sum(importe_neto)) OVER ())::DOUBLE AS cuota FROM sales GROUP BY 1"""))
 def _(t: Tables):
-    return dashboard_feeds(t)["canal"]
+    return dashboard_feed(t, "canal")
 
 
 @query("o07_heat_matrix", b.sql("star_view", """
     SELECT dia_semana, turno, sum(importe_neto)::DOUBLE AS ventas FROM star_view WHERE turno <> 'No registrado' GROUP BY 1, 2"""))
 def _(t: Tables):
-    return dashboard_feeds(t)["calor"]
+    return dashboard_feed(t, "calor")
 
 
 @query("o07_category_bars", b.sql("sales", "SELECT categoria, sum(importe_neto)::DOUBLE AS ventas FROM sales GROUP BY 1"))
 def _(t: Tables):
-    return dashboard_feeds(t)["categoria"]
+    return dashboard_feed(t, "categoria")
 
 
-def dashboard_feeds(t: Tables) -> dict[str, DataFrame]:
-    """The data behind the summary page: month line, top dishes, channel ring, heat map, category bars."""
+def _heat(t: Tables) -> DataFrame:
     tables = b.star(t)
     cells = tables["fact_ventas"].groupBy("sk_fecha", "sk_turno").agg(F.sum("importe_neto").alias("importe_neto"))
     days = tables["dim_fecha"].select("sk_fecha", "dia_semana")
     shifts = tables["dim_turno"].filter(F.col("turno").isin(*calendar.SHIFTS))
-    return {
-        "mes": olap.sum_by(b.by_order(t, dish=True), ["anio_mes"], BOTH).orderBy("anio_mes"),
-        "top": windows.top_k(olap.sum_by(b.by_dish(t), ["nombre_plato"], NET), "ventas", 8, ["nombre_plato"]),
-        "canal": windows.share_within(olap.sum_by(b.by_order(t), ["canal"], NET), "ventas", [], "cuota"),
-        "calor": olap.sum_by(cells.join(days, "sk_fecha").join(shifts, "sk_turno"), ["dia_semana", "turno"], NET),
-        "categoria": olap.sum_by(b.by_dish(t), ["categoria"], NET).orderBy("ventas"),
-    }
+    return olap.sum_by(cells.join(days, "sk_fecha").join(shifts, "sk_turno"), ["dia_semana", "turno"], NET)
+
+
+# The data behind the summary page: month line, top dishes, channel ring, heat map, category bars.
+DASHBOARD = {
+    "mes": lambda t: olap.sum_by(b.by_order(t, dish=True), ["anio_mes"], BOTH).orderBy("anio_mes"),
+    "top": lambda t: windows.top_k(olap.sum_by(b.by_dish(t), ["nombre_plato"], NET), "ventas", 8, ["nombre_plato"]),
+    "canal": lambda t: windows.share_within(olap.sum_by(b.by_order(t), ["canal"], NET), "ventas", [], "cuota"),
+    "calor": _heat,
+    "categoria": lambda t: olap.sum_by(b.by_dish(t), ["categoria"], NET).orderBy("ventas"),
+}
+
+
+def dashboard_feed(t: Tables, name: str) -> DataFrame:
+    """One feed; only what it reads is built."""
+    return DASHBOARD[name](t)
 
 
 @query("o08_drill_path", b.sql("sales", """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import money
 from ..operators import intake, quality, stats, warehouse, windows
@@ -84,14 +86,13 @@ def _(t: Tables):
     return quality.reject_orphans(quality.typed_lines(b.stg_detalle(t)), ok)[0].select("id_detalle", "id_pedido", "subtotal")
 
 
-@query("q07_fact_fk", b.sql("fact_ventas dim_cliente dim_plato dim_fecha", """
-    SELECT 'sk_cliente' AS columna, count(*) AS faltantes FROM fact_ventas WHERE sk_cliente NOT IN (SELECT sk_cliente FROM dim_cliente)
-    UNION ALL SELECT 'sk_plato', count(*) FROM fact_ventas WHERE sk_plato NOT IN (SELECT sk_plato FROM dim_plato)
-    UNION ALL SELECT 'sk_fecha', count(*) FROM fact_ventas WHERE sk_fecha NOT IN (SELECT sk_fecha FROM dim_fecha)"""))
+@query("q07_fact_fk", b.sql("fact_ventas " + " ".join(warehouse.FACT_KEYS.values()), " UNION ALL ".join(
+    f"SELECT '{key}' AS columna, count(*) AS faltantes FROM fact_ventas WHERE {key} NOT IN (SELECT {key} FROM {dim})"
+    for key, dim in warehouse.FACT_KEYS.items())))
 def _(t: Tables):
     tables = b.star(t)
-    parts = [quality.check_fk(tables["fact_ventas"], key, tables[warehouse.FACT_KEYS[key]], key) for key in ("sk_cliente", "sk_plato", "sk_fecha")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, [
+        quality.check_fk(tables["fact_ventas"], key, tables[dim], key) for key, dim in warehouse.FACT_KEYS.items()])
 
 
 @query("q08_reconcile", b.sql("pedidos detalle", """

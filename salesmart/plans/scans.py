@@ -92,8 +92,12 @@ def _(t: Tables):
     return feeds.read_csv(t.spark, _csv(raw, "asistencia"), schemas.FEEDS["asistencia"])
 
 
-def json_array_files(df: DataFrame, path: str, files: int = 8) -> None:
-    """Each file holds one JSON array: an opening bracket, one document per line, a closing bracket."""
+def json_array_files(df: DataFrame, path: str, per_file: int = 100_000) -> None:
+    """Each file holds one JSON array: an opening bracket, one document per line, a closing bracket.
+
+    The number of files follows the number of documents: a file can only be parsed as a whole.
+    """
+    files = max(1, -(-df.count() // per_file))
     bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files)).cast("int")
     docs = df.select(bucket.alias("b"), F.lit(1).alias("o"), F.to_json(F.struct(*df.columns)).alias("j"))
     ends = df.sparkSession.range(files).select(F.col("id").cast("int").alias("b"), F.explode(F.array(F.lit(0), F.lit(2))).alias("o"), F.lit(None).cast("string").alias("j"))

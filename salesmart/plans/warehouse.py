@@ -18,7 +18,7 @@ def _typed(table: str) -> str:
 
 @query("d01_dim_fecha", b.sql("dim_fecha", f"SELECT {_typed('dim_fecha')} FROM dim_fecha"))
 def _(t: Tables):
-    return warehouse.build_dim_date(t.spark, b.DIM_FIRST, b.DIM_LAST, b.holidays(t))
+    return warehouse.build_dim_date(t.spark, *b.calendar_range(t), b.holidays(t))
 
 
 @query("d02_dim_cliente", b.sql("dim_cliente", f"SELECT {_typed('dim_cliente')} FROM dim_cliente"))

@@ -19,6 +19,7 @@ RUNTIME = {
 }
 
 _local_root: dict[str, str] = {}
+_kept: dict[str, dict] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -35,6 +36,7 @@ def build(app: str = "salesmart", cores: str = "8", **conf: str) -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesmart-"))
         .config("spark.sql.shuffle.partitions", cores)
         # Compiled stages of all queries stay in the cache, not just the last hundred.
         .config("spark.sql.codegen.cache.maxEntries", "2000")
@@ -82,8 +84,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(spark: SparkSession, key: tuple, build):
+    """What ``build`` returned for ``key`` in this application, until its staging is cleared."""
+    kept = _kept.setdefault(spark.sparkContext.applicationId, {})
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
 def clear_staging(spark: SparkSession) -> None:
-    """Drop everything this application staged."""
+    """Drop everything this application staged, and what was kept that reads it."""
+    _kept.pop(spark.sparkContext.applicationId, None)
     path = f"{shared_root(spark)}/salesmart/{spark.sparkContext.applicationId}"
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
