@@ -5,20 +5,65 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import stage, staging_dir
 from .simple8b import file_bytes, read_file
 
-CACHE = 400_000  # pieces whose ids a worker remembers
+CACHE = 600_000  # pieces whose ids a worker remembers
 FILE_IDS = 4_000_000  # a file is closed after the document that passes this many ids
 _ODD_SPACE = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: how byte-level vocabularies cut a text into words.
+_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PLAIN_TOP = "\u024f"  # up to here letters and digits are the same in every Unicode version
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+_ID = attrgetter("id")
+
+
+class _Odd(Exception):
+    """White space at a piece's edge could join its neighbour's."""
+
+
+def _four_bytes(ids) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
+class _Known(dict):
+    """Ids of pieces, learned when they are first asked for; emptied when full."""
+
+    def __init__(self, learn, most: int):
+        super().__init__()
+        self.learn, self.most = learn, most
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.learn(piece)
+        if len(self) >= self.most:
+            self.clear()
+        self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -40,47 +85,49 @@ class Encoder:
         pre = made.get("pre_tokenizer") or {}
         self.by_piece = (made.get("normalizer") is None and made.get("post_processor") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
-        self.known: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.pieces, self.words = _Known(self._piece, CACHE), _Known(self._word, CACHE // 4)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _odd(piece: str) -> bool:
-        """Whether white space at a piece's edge could join its neighbour's."""
-        core = piece[1:] if piece[:1] == " " else piece
-        return piece != "\n" and (not core or core != core.strip())
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > CACHE:
-            self.known.clear()
-        new = list(pieces)
-        self.known.update(zip(new, self._whole([p.removeprefix("\0") for p in new])))
+    def _word(self, word: str) -> bytes:
+        core = word.removeprefix(" ")
+        if core.isascii() and core.isalnum():
+            letters = word if core is word else _LETTERS[32] + core
+        else:
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return _four_bytes(map(_ID, self.model.tokenize(letters)))
+
+    def _piece(self, piece: str) -> bytes:
+        cut = piece[:1] == "\0"  # a piece cut between two words with one blank only
+        if cut:
+            piece = piece[1:]
+        core = piece.removeprefix(" ")
+        if core and max(core) <= _PLAIN_TOP:
+            if core.isalpha():
+                return self._word(piece)
+            if core[:-1].isalpha() and core[-1] in ".,;:!?":
+                return self.words[piece[:-1]] + self.words[core[-1]]
+            if core.strip() == core and len(core.split()) == 1:
+                return b"".join([self.words[w] for w in _WORDS.findall(piece)])
+        if not cut and piece != "\n" and (not core or core != core.strip()):
+            raise _Odd
+        return self.whole([piece])[0]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
-            return self._whole(texts)
-        out: list[bytes] = []
-        for lo in range(0, len(texts), 256):
-            get = self.known.get
-            cut, missing = [], set()
-            for t in texts[lo: lo + 256]:
-                pieces = t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-                found = list(map(get, pieces))
-                unseen = {p for p, f in zip(pieces, found) if f is None} if None in found else set()
-                if "\0" in t or any(map(self._odd, unseen)):
-                    # Cut between two words with one blank only; such pieces are known by another name.
-                    first, *rest = _ODD_SPACE.split(t)
-                    pieces = ["\0" + first, *["\0 " + r for r in rest]]
-                    found = [None]
-                    unseen = {p for p in pieces if p not in self.known}
-                missing |= unseen
-                cut.append((pieces, found))
-            if missing:
-                full = len(self.known) + len(missing) > CACHE
-                self._learn({p for pieces, _ in cut for p in pieces} if full else missing)
-            out += [b"".join(map(self.known.__getitem__, pieces) if None in found else found) for pieces, found in cut]
+            return self.whole(texts)
+        out, get = [], self.pieces.__getitem__
+        for t in texts:
+            try:
+                if "\0" in t:
+                    raise _Odd
+                out.append(b"".join(map(get, t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))))
+            except _Odd:
+                first, *rest = _ODD_SPACE.split(t)
+                out.append(b"".join(map(get, ["\0" + first, *["\0 " + r for r in rest]])))
         return out
 
 
@@ -123,7 +170,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
         def close() -> pa.RecordBatch:
             nonlocal ids, names, lengths, n, nth
             name = f"ids-{task.partitionId():06d}-{nth:05d}.s8b"
-            body = file_bytes(np.frombuffer(b"".join(ids), "<u4").astype(np.uint64), names, lengths)
+            body = file_bytes(np.frombuffer(b"".join(ids), "<u4"), names, lengths)
             part = f"{root}/.{name}.{task.taskAttemptId()}"
             with store.open_output_stream(part) as out:
                 out.write(body)
@@ -159,8 +206,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, body in zip(batch.column("path").to_pylist(), batch.column("content")):
-                ids, docs, lengths = read_file(body.as_buffer().to_pybytes())
-                ids = ids.astype("<u4")
+                ids, docs, lengths = read_file(memoryview(body.as_buffer()), "<u4")
                 ends = np.cumsum(lengths)
                 begins = ends - lengths
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
