@@ -140,6 +140,33 @@ def load_orders(staging: DataFrame, staging_lines: DataFrame, order: Sequence[st
     return {"pedidos": accepted, "detalle": kept, "errores": errors, "calidad": summary}
 
 
+def load_counters(staging: DataFrame, staging_lines: DataFrame, order: Sequence[str], load_date: dt.date) -> DataFrame:
+    """The seven counters of the bulk order load, one row; staged orders and lines are read once each."""
+    orders = stage(typed_orders(staging, order, load_date), "pedidos")
+    bad = bad_amount(F.col("monto_total"))
+    ok = orders.filter(~bad).select("id_pedido", F.lit(1).alias("_ok"))
+    lines = typed_lines(staging_lines).select("id_pedido").join(ok, "id_pedido", "left")
+    parts = [
+        windows.discarded_count(staging, ["id_pedido"]).select(F.col("descartados").alias("dup")),
+        orders.agg(F.count_if(~bad).alias("ins_pedidos"), F.sum("es_paso").alias("cliente_paso"),
+                   F.sum("fecha_imputada").alias("fecha_imputada"), F.count_if(bad).alias("monto_rechazado")),
+        lines.agg(F.count("_ok").alias("ins_detalle"), F.count_if(F.col("_ok").isNull()).alias("huerfanos")),
+    ]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return merged.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in (
+        "ins_pedidos", "ins_detalle", "dup", "cliente_paso", "fecha_imputada", "monto_rechazado", "huerfanos")])
+
+
+def client_counters(staging: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(insertados, duplicados, dni_invalidos) of the bulk client load, one row."""
+    first = windows.dedupe_first(staging, ["id_cliente"], order).agg(
+        F.count(text.safe_cast(F.col("id_cliente"), "bigint")).alias("insertados"),
+        F.count_if(~text.is_valid_id(F.col("dni"))).alias("dni_invalidos"))
+    repeats = windows.discarded_count(staging, ["id_cliente"]).select(F.col("descartados").alias("duplicados"))
+    return first.unionByName(repeats, allowMissingColumns=True).agg(*[
+        F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("insertados", "duplicados", "dni_invalidos")])
+
+
 def load_clients(staging: DataFrame, order: Sequence[str], existing: DataFrame | None = None) -> DataFrame:
     """The bulk client load: R1, R5, blanks to NULL, plus the walk-in member if absent."""
     first = windows.dedupe_first(staging, ["id_cliente"], order)

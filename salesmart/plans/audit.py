@@ -9,6 +9,7 @@ from ..session import staging_dir
 from ..sources import writers
 from ..sources.tables import Tables
 from . import bindings as b
+from .quality import ACCEPTED, LINES
 from .registry import query
 
 NEW_SALARY = ("CASE WHEN id_empleado % 4 = 0 THEN CAST(coalesce(salario_mensual, 1000.00) + 100 AS DECIMAL(10,2)) "
@@ -90,26 +91,35 @@ def _(t: Tables):
 
 
 @query("au7_append_audit", b.sql("empleados pedidos", """
-    SELECT tabla_afectada, count(*) AS filas FROM (
-      SELECT 'Empleado' AS tabla_afectada FROM empleados WHERE cargo = 'Ayudante' UNION ALL SELECT 'Pedido' FROM pedidos WHERE metodo_pago = 'Plin') GROUP BY 1"""))
+    SELECT 'Baja de empleado ID ' || id_empleado AS accion, 'Empleado' AS tabla_afectada, cargo AS valor_anterior, NULL::VARCHAR AS valor_nuevo
+    FROM empleados WHERE cargo = 'Ayudante'
+    UNION ALL SELECT 'Anulación (DELETE) del pedido ' || id_pedido, 'Pedido', monto_total::VARCHAR, NULL FROM pedidos WHERE metodo_pago = 'Plin'"""))
 def _(t: Tables):
     path = staging_dir(t.spark, "log_auditoria")
     people, orders = b.empleados(t), b.pedidos(t)
     writers.append_audit(audit.audit_removed(people, people.filter("cargo <> 'Ayudante'")), path)
     writers.append_audit(audit.audit_cancelled(orders, orders.filter("metodo_pago <> 'Plin'")), path)
-    return t.spark.read.parquet(path).groupBy("tabla_afectada").agg(F.count(F.lit(1)).alias("filas"))
+    return t.spark.read.parquet(path)
 
 
-@query("au8_load_message", b.sql("stg_pedido", """
+@query("au8_load_message", b.sql("stg_pedido stg_detalle", f"""
+    WITH {ACCEPTED}, {LINES}
     SELECT 'Carga masiva pedidos' AS accion, 'Pedido' AS tabla_afectada, NULL::VARCHAR AS valor_anterior,
-      'dup=' || (count(*) - count(DISTINCT id_pedido)) || '; cliente_paso=' || count(*) FILTER (WHERE copia = 1 AND id_cliente = '')
-      || '; fecha_imputada=' || count(*) FILTER (WHERE copia = 1 AND try_strptime(fecha_pedido, '%d/%m/%Y') IS NULL) AS valor_nuevo FROM stg_pedido"""))
+      'ins_pedidos=' || (SELECT count(*) FROM ok) || '; ins_detalle=' || (SELECT count(*) FROM lin WHERE id_pedido IN (SELECT id_pedido FROM ok))
+      || '; dup=' || (count(*) - count(DISTINCT id_pedido)) || '; cliente_paso=' || count(*) FILTER (WHERE copia = 1 AND id_cliente = '')
+      || '; fecha_imputada=' || count(*) FILTER (WHERE copia = 1 AND try_strptime(fecha_pedido, '%d/%m/%Y') IS NULL)
+      || '; monto_rechazado=' || (SELECT count(*) FROM ped WHERE monto_total IS NULL OR monto_total <= 0)
+      || '; huerfanos=' || (SELECT count(*) FROM lin WHERE id_pedido NOT IN (SELECT id_pedido FROM ok)) AS valor_nuevo FROM stg_pedido"""))
 def _(t: Tables):
-    typed = quality.typed_orders(b.stg_pedido(t), b.FIRST, b.LOAD_DATE)
-    flags = typed.agg(F.sum("es_paso").alias("cliente_paso"), F.sum("fecha_imputada").alias("fecha_imputada"))
-    repeats = quality.windows.discarded_count(b.stg_pedido(t), ["id_pedido"]).withColumnRenamed("descartados", "dup")
-    none = F.lit(None).cast("bigint")
-    counters = repeats.select("dup", none.alias("cliente_paso"), none.alias("fecha_imputada")).unionByName(
-        flags.select(none.alias("dup"), "cliente_paso", "fecha_imputada")).agg(
-        *[F.max(c).alias(c) for c in ("dup", "cliente_paso", "fecha_imputada")])
+    counters = quality.load_counters(b.stg_pedido(t), b.stg_detalle(t), b.FIRST, b.LOAD_DATE)
     return audit.load_message(counters, "Carga masiva pedidos", "Pedido")
+
+
+@query("au8_client_message", b.sql("stg_cliente", """
+    SELECT 'Carga masiva clientes: insertados=' || count(*) FILTER (WHERE rn = 1 AND TRY_CAST(id_cliente AS BIGINT) IS NOT NULL)
+      || ', duplicados=' || count(*) FILTER (WHERE rn > 1)
+      || ', DNI inválidos=' || count(*) FILTER (WHERE rn = 1 AND NOT coalesce(regexp_full_match(dni, '[0-9]{8}'), false)) AS accion,
+      'Cliente' AS tabla_afectada, NULL::VARCHAR AS valor_anterior, 'customer' AS valor_nuevo
+    FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY copia) AS rn FROM stg_cliente)"""))
+def _(t: Tables):
+    return audit.client_message(quality.client_counters(b.stg_cliente(t), b.FIRST), "customer")

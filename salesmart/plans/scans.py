@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality, stats, warehouse
@@ -148,14 +150,31 @@ def _(t: Tables):
 
 
 STAR_NAMES = list(schemas.STAR)
-COUNT_SQL = " UNION ALL ".join(f"SELECT '{n}' AS tabla, count(*) AS filas FROM {n}" for n in STAR_NAMES)
 
 
-@query("s11_load_star", b.sql(" ".join(STAR_NAMES), COUNT_SQL))
+# Every column of every table after the round trip: its values and distinct values.
+def _profile_sql(table: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS tabla, '{c}' AS columna, count({c}) AS valores, count(DISTINCT {c}) AS distintos FROM {table}" for c in columns)
+
+
+STAR_COLUMNS = {name: [c for c, _ in schemas.fields(schemas.STAR[name])] for name in STAR_NAMES}
+
+
+def _profiles(tables) -> DataFrame:
+    """One pass per table: values and distinct values of each column."""
+    parts = []
+    for name, columns in STAR_COLUMNS.items():
+        cells = [F.struct(F.lit(c).alias("columna"), F.count(c).alias("valores"), F.countDistinct(c).alias("distintos")) for c in columns]
+        parts.append(tables[name].agg(F.array(*cells).alias("s")).select(F.lit(name).alias("tabla"), F.inline("s")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("s11_load_star", b.sql(" ".join(STAR_NAMES), " UNION ALL ".join(_profile_sql(n, c) for n, c in STAR_COLUMNS.items())))
 def _(t: Tables):
     path = staging_dir(t.spark, "star")
     writers.write_star(b.star(t), path)
-    return stats.table_counts(feeds.load_star(t.spark, path))
+    return _profiles(feeds.load_star(t.spark, path))
 
 
 @query("s12_write_star_csv", b.sql("fact_ventas", """
@@ -192,13 +211,19 @@ def _(t: Tables):
 
 
 @query("s15_write_clean", b.sql("stg_cliente empleados", """
-    SELECT 'Cliente' AS tabla, count(DISTINCT id_cliente) AS filas FROM stg_cliente UNION ALL SELECT 'Empleado', count(*) FROM empleados"""))
+    SELECT 'Cliente' AS tabla, CAST(id_cliente AS STRING) AS id, CASE WHEN regexp_full_match(dni, '[0-9]{8}') THEN dni END AS documento, apellido
+    FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY copia) AS rn FROM stg_cliente) WHERE rn = 1
+    UNION ALL SELECT 'Empleado', CAST(id_empleado AS STRING), dni_empleado, apellido FROM empleados"""))
 def _(t: Tables):
     path = staging_dir(t.spark, "clean")
     clients = quality.null_invalid_id(quality.windows.dedupe_first(b.stg_cliente(t), ["id_cliente"], b.FIRST), "dni").drop("copia", "fila")
     writers.write_clean({"Cliente": clients, "Empleado": b.empleados(t)}, path)
-    back = {name: t.spark.read.option("header", True).csv(f"{path}/{name}") for name in ("Cliente", "Empleado")}
-    return stats.table_counts(back)
+
+    def back(name: str, key: str, document: str) -> DataFrame:
+        read = t.spark.read.option("header", True).option("escape", '"').csv(f"{path}/{name}")
+        return read.select(F.lit(name).alias("tabla"), F.col(key).alias("id"), F.col(document).alias("documento"), "apellido")
+
+    return back("Cliente", "id_cliente", "dni").unionByName(back("Empleado", "id_empleado", "dni_empleado"))
 
 
 @query("s16_step_log_sink", b.sql("feed clean_feed platos", """

@@ -8,6 +8,7 @@ from ..operators import warehouse
 from ..sources.schemas import FACT_COLUMNS, STAR, fields
 from ..sources.tables import Tables
 from . import bindings as b
+from .quality import ACCEPTED, LINES
 from .registry import query
 
 
@@ -87,3 +88,20 @@ def _(t: Tables):
     UNION ALL SELECT 'dni_hash nulos', (count(*) FILTER (WHERE dni_hash IS NULL))::DOUBLE FROM dim_cliente"""))
 def _(t: Tables):
     return warehouse.star_report(b.star(t))
+
+
+@query("d11_chained_fact", b.sql("stg_pedido stg_detalle stg_cliente dim_plato dim_empleado dim_metodo_pago dim_canal dim_turno", f"""
+    WITH {ACCEPTED}, {LINES}, cli AS (
+      SELECT 2 + row_number() OVER (ORDER BY id) AS sk_cliente, id FROM (
+        SELECT DISTINCT TRY_CAST(id_cliente AS BIGINT) AS id FROM stg_cliente) WHERE id IS NOT NULL AND id <> 9999)
+    SELECT 'SQL-' || id_pedido AS nro_pedido, CAST(strftime(fecha_pedido, '%Y%m%d') AS INT) AS sk_fecha, coalesce(cli.sk_cliente, 1) AS sk_cliente,
+      sk_plato, sk_empleado, sk_pago, sk_canal, sk_turno, cantidad, subtotal::DOUBLE AS importe_neto
+    FROM lin JOIN ok USING (id_pedido) LEFT JOIN cli ON cli.id = id_cliente
+      LEFT JOIN dim_plato p ON p.id_plato_nk = id_plato LEFT JOIN dim_empleado e ON e.id_empleado_nk = id_empleado
+      LEFT JOIN dim_metodo_pago m USING (metodo_pago) LEFT JOIN dim_canal k ON k.canal = canal_interno
+      LEFT JOIN dim_turno u ON u.turno = CASE WHEN CAST(left(hora_pedido, 2) AS INT) < 15 THEN 'Almuerzo (11-15h)'
+        WHEN CAST(left(hora_pedido, 2) AS INT) < 18 THEN 'Tarde (15-18h)' ELSE 'Noche (18-22h)' END"""))
+def _(t: Tables):
+    fact = b.chained_star(t)["fact_ventas"]
+    return fact.filter("origen = 'SQL Server'").select(
+        "nro_pedido", "sk_fecha", "sk_cliente", "sk_plato", "sk_empleado", "sk_pago", "sk_canal", "sk_turno", "cantidad", "importe_neto")
