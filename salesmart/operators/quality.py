@@ -329,22 +329,18 @@ def step_log(steps: Sequence[tuple[str, str, DataFrame | None, DataFrame | None,
     """(paso, descripcion, filas_in, filas_out, filas_afectadas, marca_tiempo), one row per ETL step.
 
     Each step gives the frame before, the frame after and an aggregate over the
-    frame after for the rows it affected.
+    frame after for the rows it affected.  A frame that several steps name is
+    evaluated once, with all their counters in one aggregate.
     """
-    def part(position: int, step: str, description: str, df: DataFrame, name: str, value: Column) -> DataFrame:
-        cells = {c: F.lit(0).cast("bigint") for c in ("filas_in", "filas_out", "filas_afectadas")}
-        cells[name] = F.coalesce(F.col("v"), F.lit(0)).cast("bigint")
-        return df.agg(value.alias("v")).select(
-            F.lit(position).alias("_n"), F.lit(step).alias("paso"), F.lit(description).alias("descripcion"),
-            *[c.alias(k) for k, c in cells.items()])
-    rows = []
+    names = ("filas_in", "filas_out", "filas_afectadas")
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
     for n, (step, description, before, after, affected) in enumerate(steps):
-        if before is not None:
-            rows.append(part(n, step, description, before, "filas_in", F.count(F.lit(1))))
-        if after is not None:
-            rows.append(part(n, step, description, after, "filas_out", F.count(F.lit(1))))
-            if affected is not None:
-                rows.append(part(n, step, description, after, "filas_afectadas", affected))
-    merged = reduce(DataFrame.unionByName, rows).groupBy("_n", "paso", "descripcion").agg(
-        *[F.sum(c).alias(c) for c in ("filas_in", "filas_out", "filas_afectadas")])
+        for df, name, value in ((before, "filas_in", F.count(F.lit(1))), (after, "filas_out", F.count(F.lit(1))), (after, "filas_afectadas", affected)):
+            if df is not None and value is not None:
+                counted = F.coalesce(value, F.lit(0)).cast("bigint")
+                frames.setdefault(id(df), (df, []))[1].append(F.struct(
+                    F.lit(n).alias("_n"), F.lit(step).alias("paso"), F.lit(description).alias("descripcion"),
+                    *[(counted if c == name else F.lit(0).cast("bigint")).alias(c) for c in names]))
+    rows = [df.agg(F.array(*cells).alias("s")).select(F.inline("s")) for df, cells in frames.values()]
+    merged = reduce(DataFrame.unionByName, rows).groupBy("_n", "paso", "descripcion").agg(*[F.sum(c).alias(c) for c in names])
     return merged.orderBy("_n").drop("_n").withColumn("marca_tiempo", F.current_timestamp())

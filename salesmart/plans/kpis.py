@@ -148,5 +148,5 @@ def _(t: Tables):
 @query("k_measures_by_category_channel", b.sql("sales", f"""
     SELECT categoria, canal, {', '.join(f'{rule} AS {name}' for name, rule in RULES.items() if name != 'repeat_pct')} FROM sales GROUP BY ALL"""))
 def _(t: Tables):
-    rows = b.sales(t, dish=True, customer=True)
-    return measures.measures(rows, "categoria", "canal", names=[n for n in measures.MEASURES if n != "repeat_pct"], order="ref")
+    rows = b.by_ref(t, "categoria", dish=True, order=True, customer=True)
+    return measures.order_measures(rows, "categoria", "canal", names=[n for n in measures.MEASURES if n != "repeat_pct"])

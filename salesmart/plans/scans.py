@@ -231,12 +231,12 @@ def _(t: Tables):
     UNION ALL SELECT 'T01', (SELECT count(*) FROM feed), count(DISTINCT order_ref), count(*) - count(DISTINCT order_ref) FROM feed
     UNION ALL SELECT 'L03', count(*), count(*), 0 FROM platos"""))
 def _(t: Tables):
-    raw = b.feed(t)
+    raw, dishes = b.feed(t), b.platos(t)
     first = quality.windows.dedupe_first(raw, ["order_ref"], b.FIRST)
     log = quality.step_log([
         ("E02", "Extracción de la fuente externa", None, raw, None),
         ("T01", "Eliminar duplicados por order_ref", raw, first, None),
-        ("L03", "Construir dimensión de platos", b.platos(t), b.platos(t), None),
+        ("L03", "Construir dimensión de platos", dishes, dishes, None),
     ])
     dropped = F.when(F.col("paso") == "T01", F.col("filas_in") - F.col("filas_out")).otherwise(F.col("filas_afectadas"))
     path = staging_dir(t.spark, "etl_log")

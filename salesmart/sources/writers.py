@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import stage
+
 
 def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """One folder per table.  Parquet is the primary form, CSV the exchange form.
@@ -45,7 +47,8 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def write_step_log(log: DataFrame, path: str) -> None:
-    """Append the ETL step log as CSV and as one text line per step."""
+    """Append the ETL step log as CSV and as one text line per step; the log is evaluated once."""
+    log = stage(log, "step-log")
     log.write.mode("append").option("header", True).option("escape", '"').csv(f"{path}/csv")
     line = F.format_string(
         "%s [%s] %s | in=%d out=%d afectadas=%d", F.date_format("marca_tiempo", "yyyy-MM-dd HH:mm:ss"),
