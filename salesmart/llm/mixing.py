@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
-from .text import n_words, packed
+from .text import n_words
 
 _NOWHERE = object()  # None is a source
 CELL_BITS = 12
@@ -121,8 +121,9 @@ def mix(docs: DataFrame, size, sources, weights: Callable[[list], dict], doc_id:
     # Arrays with nulls are never equal in a join, so sources are marked: n for null, else s and the name.
     marked = F.transform(F.coalesce(sources.cast("array<string>"), F.array().cast("array<string>")),
                          lambda s: F.coalesce(F.concat(F.lit("s"), s), F.lit("n")))
-    rows = packed(docs, size=F.coalesce(size.cast("long"), F.lit(0)), pattern=F.array_sort(F.array_distinct(marked)),
-                  h=F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), size))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"),
+        F.array_sort(F.array_distinct(marked)).alias("pattern"), F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), size).alias("h"))
     rows = stage(rows, "mix-rows")
     sums = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:

@@ -165,5 +165,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     kept = stage(kept.select(F.col("w.id").alias("id"), F.col("w.of").alias("of")).distinct(), "kept-ids")
     rows = packed(docs, k=F.col(f"`{doc_id}`").cast("long"), h=F.xxhash64(F.col(f"`{text}`")))
     rows = rows.join(kept, (rows.h == kept.of) & rows.k.eqNullSafe(kept.id), "left_semi")
-    first = Window.partitionBy("k", "h").orderBy(F.xxhash64("row"))
+    first = Window.partitionBy("k", "h").orderBy(F.xxhash64(*[f"in_{k}" for k in range(len(docs.columns))]))
     return unpacked(rows.withColumn("nth", F.row_number().over(first)).where("nth = 1"), docs.columns)

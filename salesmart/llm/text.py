@@ -34,12 +34,15 @@ def n_words(c: Column) -> Column:
 
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` as one struct column ``row`` beside ``columns``, so no name of the input can clash."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
+    """The columns of ``df`` as ``in_0``, ``in_1``, ... beside ``columns``, so no name of the input can clash.
+
+    They stay columns of their own, so those nobody asks for are pruned before a shuffle.
+    """
+    return df.select(*[F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(df.columns)], *[v.alias(k) for k, v in columns.items()])
 
 
 def unpacked(df: DataFrame, names: list[str], **results: Column) -> DataFrame:
     """The input's columns again, then ``results``; a result replaces an input column of its name."""
     taken = {k.lower() for k in results}
-    return df.select(*[F.col("row").getField(c).alias(c) for c in names if c.lower() not in taken],
+    return df.select(*[F.col(f"in_{k}").alias(c) for k, c in enumerate(names) if c.lower() not in taken],
                      *[v.alias(k) for k, v in results.items()])
