@@ -21,8 +21,9 @@ from .quality_rules import STOP_WORDS
 from .text import ascii_lower, lines, packed, unpacked
 
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after lower-casing: digits, letters and all beyond ASCII
-LEAST_SHARED = 3  # word pairs a paragraph has in common with a template
+LEAST_SHARED = 3  # word pairs a paragraph has in common with a template, or all of the shorter one
 LEAST_SHARE = 0.7  # of the shorter one's word pairs
+LEAST_SHUFFLED = 8  # words of a template whose shuffled half no longer is a notice
 UNKNOWN = "unknown"
 STOP = {w for words in STOP_WORDS.values() for w in words.split()}
 
@@ -70,8 +71,9 @@ def _examples(rng: np.random.Generator, times: int) -> tuple[list[list[str]], li
             words = tokens(template)
             texts += [words, *(varied(words) for _ in range(times))]
             labels += [k] * (times + 1)
-            texts.append(list(rng.permutation(words)[: len(words) // 2 + 1]))
-            labels.append(len(families))
+            if len(words) >= LEAST_SHUFFLED:
+                texts.append(list(rng.permutation(words)[: len(words) // 2 + 1]))
+                labels.append(len(families))
     for words in other:
         texts += [words, *(varied(words) for _ in range(times))]
         labels += [len(families)] * (times + 1)
@@ -138,7 +140,7 @@ def confirmed(family: str, words: list[str]) -> bool:
     for template in TEMPLATES.get(family, []):
         theirs = set(_pairs(tokens(template)))
         n = len(own & theirs)
-        if n >= min(LEAST_SHARED, len(theirs)) and n >= LEAST_SHARE * min(len(own), len(theirs)):
+        if n >= max(1, min(LEAST_SHARED, len(own), len(theirs))) and n >= LEAST_SHARE * min(len(own), len(theirs)):
             return True
     return False
 
@@ -185,7 +187,7 @@ def judged(line: Column, model: Model) -> Column:
 
     def sure(found: Column, pairs_: Column) -> Column:
         def fits(template: Column) -> Column:
-            return _once(F.size(F.array_intersect(pairs_, template)), lambda n: (n >= F.least(F.lit(LEAST_SHARED), F.size(template)))
+            return _once(F.size(F.array_intersect(pairs_, template)), lambda n: (n >= F.greatest(F.lit(1), F.least(F.lit(LEAST_SHARED), F.size(pairs_), F.size(template))))
                          & (n >= LEAST_SHARE * F.least(F.size(pairs_), F.size(template))))
 
         # Nested conditions: templates are looked at for likely paragraphs only.
