@@ -5,6 +5,8 @@ TEMPLATES = {
     "agpl": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
         "GNU Affero General Public License v3.0",
         "GNU AGPL version 3",
         "Licensed under AGPL-3.0",
@@ -65,6 +67,7 @@ TEMPLATES = {
         "Released under the GPL, version 2 or later.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "GNU General Public License v3.0",
         "GNU GPL version 3",
         "Licensed under GPL-3.0",
@@ -83,6 +86,9 @@ TEMPLATES = {
     "lgpl": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "You should have received a copy of the GNU Lesser General Public License along with this program.",
         "GNU Lesser General Public License v3.0",
         "GNU LGPL version 3",
         "Licensed under LGPL-3.0",

@@ -2,7 +2,8 @@
 
 A paragraph is a line.  A sparse logistic regression over its word one- and
 two-grams gives each licence family a score against the class of unknown texts;
-a predicted family must then share enough word pairs with one of its templates.
+every family likelier than unknown must then share enough word pairs with one of
+its templates, so a line with two notices has two families.
 Training (on the texts of ``license_texts``) yields some hundred weights; the
 scan itself is built-in expressions only.
 """
@@ -45,12 +46,17 @@ class Model:
     weights: dict[str, list[float]]
     heat: float
 
-    def probabilities(self, words: list[str]) -> np.ndarray:
+    def odds(self, words: list[str]) -> np.ndarray:
+        """Of each family against unknown."""
         z = np.array(self.bias)
         for g in sorted(grams(words)):
             if g in self.weights:
                 z = z + self.weights[g]
-        e = np.exp(z / self.heat)
+        return np.exp(z / self.heat)
+
+    def probabilities(self, words: list[str]) -> np.ndarray:
+        """Shares of the families when a paragraph has only one."""
+        e = self.odds(words)
         return e / (1 + e.sum())
 
 
@@ -116,6 +122,12 @@ def train(times: int = 8, sparsity: float = 2e-4, steps: int = 250, seed: int =
         u = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead_w, ahead_b = new_w + (t - 1) / u * (new_w - w), new_b + (t - 1) / u * (new_b - b)
         w, b, t = new_w, new_b, u
+    # A second notice in a paragraph is no evidence against the first: words of other families never count against one.
+    of = [{g for t in TEMPLATES[f] for g in grams(tokens(t))} for f in families]
+    for g, i in vocabulary.items():
+        foreign = [k for k in range(len(families)) if g not in of[k]]
+        if len(foreign) < len(families):
+            w[i, foreign] = np.maximum(w[i, foreign], 0)
     fresh, truth = _examples(np.random.default_rng(seed + 1), 3)
     z = matrix(fresh) @ w + b
 
@@ -134,15 +146,29 @@ def _pairs(words: list[str]) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
-def confirmed(family: str, words: list[str]) -> bool:
-    """Whether the word pairs match a template of the family; the plain form of the native check."""
-    own = set(_pairs(words))
+def shared(family: str, words: list[str]) -> set[str]:
+    """The word pairs in common with the matching templates of the family; none if no template matches."""
+    own, found = set(_pairs(words)), set()
     for template in TEMPLATES.get(family, []):
         theirs = set(_pairs(tokens(template)))
         n = len(own & theirs)
         if n >= max(1, min(LEAST_SHARED, len(own), len(theirs))) and n >= LEAST_SHARE * min(len(own), len(theirs)):
-            return True
-    return False
+            found |= own & theirs
+    return found
+
+
+def confirmed(family: str, words: list[str]) -> bool:
+    """Whether the word pairs match a template of the family; the plain form of the native check."""
+    return bool(shared(family, words))
+
+
+def families_of(model: Model, words: list[str]) -> list[str]:
+    """The families of a paragraph, likeliest first; the plain form of ``judged``."""
+    e = model.odds(words)
+    likely = sorted((k for k in range(len(e)) if e[k] >= 1 and confirmed(model.families[k], words)), key=lambda k: (-e[k], k))
+    every = {k: {p for t in TEMPLATES[model.families[k]] for p in _pairs(tokens(t))} for k in likely}
+    own = [k for k in likely if shared(model.families[k], words) - set().union(*(every[g] for g in likely if g != k))]
+    return [model.families[k] for k in own or likely[:1]]
 
 
 def _sql(value) -> str:
@@ -163,7 +189,13 @@ def _once(value: Column, then) -> Column:
 
 
 def judged(line: Column, model: Model) -> Column:
-    """``family, probability`` of a lower-cased line; null where it is unknown or not confirmed."""
+    """``family, probability`` of each family of a lower-cased line, likeliest first; null or empty without one.
+
+    Every family is judged on its own against unknown and confirmed by its
+    templates, so a line may have several.  A family whose shared word pairs all
+    belong to the templates of the others says nothing of its own (GPL words in
+    an AGPL notice) and is left out; if all are such, the likeliest stays.
+    """
     positive = [g for g, w in model.weights.items() if max(w) > 0]
     # A gram of positive weight brings its words along, so lines without its less common word are unknown for sure.
     marks = sorted({max(g.split(" "), key=lambda w: (w not in STOP, len(w))) for g in positive})
@@ -181,38 +213,49 @@ def judged(line: Column, model: Model) -> Column:
         z = F.aggregate(hits, F.expr(_sql(model.bias)), lambda z, g: F.zip_with(z, F.element_at(weights, g), lambda a, b: a + b))
         return F.transform(z, lambda v: F.exp(v / model.heat))
 
-    def best(e: Column) -> Column:
-        return F.struct(F.element_at(families, F.array_position(e, F.array_max(e)).cast("int")).alias("family"),
-                        (F.array_max(e) / F.aggregate(e, F.lit(1.0), lambda a, b: a + b)).alias("probability"))
-
-    def sure(found: Column, pairs_: Column) -> Column:
-        def fits(template: Column) -> Column:
-            return _once(F.size(F.array_intersect(pairs_, template)), lambda n: (n >= F.greatest(F.lit(1), F.least(F.lit(LEAST_SHARED), F.size(pairs_), F.size(template))))
-                         & (n >= LEAST_SHARE * F.least(F.size(pairs_), F.size(template))))
-
+    def fits(template: Column, pairs_: Column) -> Column:
+        return _once(F.size(F.array_intersect(pairs_, template)), lambda n: (n >= F.greatest(F.lit(1), F.least(F.lit(LEAST_SHARED), F.size(pairs_), F.size(template))))
+                     & (n >= LEAST_SHARE * F.least(F.size(pairs_), F.size(template))))
+
+    def likely(e: Column, pairs_: Column) -> Column:
+        """``at`` (order of the sort), family, probability and shared pairs of the confirmed families."""
+        ranked = F.array_sort(F.filter(F.zip_with(e, families, lambda v, f: F.struct((-v).alias("at"), f.alias("family"))), lambda c: c["at"] <= -1))
+        with_pairs = F.transform(ranked, lambda c: F.struct(
+            c["at"].alias("at"), c["family"].alias("family"), (1 / (1 + 1 / -c["at"])).alias("probability"),
+            F.array_intersect(pairs_, F.flatten(F.filter(F.element_at(templates, c["family"]), lambda t: fits(t, pairs_)))).alias("pairs")))
+        return F.filter(with_pairs, lambda c: F.size(c["pairs"]) > 0)
+
+    def apart(found: Column) -> Column:
+        own = F.filter(found, lambda c: F.size(F.array_except(c["pairs"], F.flatten(F.flatten(F.transform(
+            F.filter(found, lambda g: g["family"] != c["family"]), lambda g: F.element_at(templates, g["family"])))))) > 0)
+        kept = _once(own, lambda o: F.when(F.size(o) > 0, o).otherwise(F.slice(found, 1, 1)))
+        return F.transform(kept, lambda c: F.struct(c["family"].alias("family"), c["probability"].alias("probability")))
+
+    def sure(e: Column, pairs_: Column) -> Column:
         # Nested conditions: templates are looked at for likely paragraphs only.
-        return F.when(found["probability"] >= 0.5, F.when(F.exists(F.element_at(templates, found["family"]), fits), found))
+        return F.when(F.array_max(e) >= 1, _once(likely(e, pairs_), apart))
 
     def marked(words: Column) -> Column:
         return F.when(F.exists(words, lambda w: w.isin(*marks)),
-                      _once(pairs(words), lambda p: _once(odds(words, p), lambda e: _once(best(e), lambda f: sure(f, p)))))
+                      _once(pairs(words), lambda p: _once(odds(words, p), lambda e: sure(e, p))))
 
     return _once(F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0)), marked)
 
 
 def scan_paragraphs(docs: DataFrame, text: Column, **keys: Column) -> DataFrame:
-    """The confirmed paragraphs: ``keys``, ``at`` (line number from 0), ``family``, ``probability``."""
+    """A row for each family of each paragraph: ``keys``, ``at`` (line number from 0), ``family``, ``probability``."""
     line = docs.select(*[v.alias(k) for k, v in keys.items()], F.posexplode(lines(ascii_lower(text))).alias("at", "line"))
-    found = line.select(*keys, "at", judged(F.col("line"), train()).alias("j")).where(F.col("j").isNotNull())
+    found = line.select(*keys, "at", F.explode(judged(F.col("line"), train())).alias("j"))
     return found.select(*keys, "at", "j.family", "j.probability")
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``n_paragraphs``, ``n_licensed``, ``families``, ``family`` and ``probability``.
 
-    ``families`` are those of the confirmed paragraphs, sorted and comma-joined;
-    ``family`` and ``probability`` belong to the surest of them (``unknown`` and
-    null without one).  A null or empty text is one empty paragraph.  Null ids
+    ``n_licensed`` counts the paragraphs with a confirmed family, of which each
+    may have several.  ``families`` are all of them, sorted and comma-joined;
+    ``family`` and ``probability`` (against unknown) belong to the surest of them
+    (``unknown`` and null without one).  A null or empty text is one empty paragraph.  Null ids
     and rows with the same id are told apart by their texts; repeated rows get
     equal results.  Input columns named like a result are replaced.
 
@@ -227,6 +270,6 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     both = rows.join(by_doc, rows.id.eqNullSafe(by_doc.k) & (rows.h == by_doc.of), "left")
     surest = F.array_max(F.transform("found", lambda f: F.struct(f["probability"].alias("p"), (-f["at"]).alias("at"), f["family"].alias("family"))))
     both = both.withColumn("surest", surest)
-    return unpacked(both, docs.columns, n_paragraphs=F.col("n"), n_licensed=F.coalesce(F.when(F.col("found").isNotNull(), F.size("found")), F.lit(0)).cast("long"),
+    return unpacked(both, docs.columns, n_paragraphs=F.col("n"), n_licensed=F.coalesce(F.when(F.col("found").isNotNull(), F.size(F.array_distinct(F.transform("found", lambda f: f["at"])))), F.lit(0)).cast("long"),
                     families=F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda f: f["family"]))), ","), F.lit("")),
                     family=F.coalesce("surest.family", F.lit(UNKNOWN)), probability=F.col("surest.p"))
