@@ -45,6 +45,52 @@ def parts(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[p
         lo = hi
 
 
+def stretches(batch: pa.RecordBatch, column: str, admits: np.ndarray, overlap: int,
+              most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``data, offsets, rows, old``: the texts of ``column`` in stretches of about ``most`` bytes, long texts in several.
+
+    A long text is cut behind a word, never inside one (words are runs that
+    ``admits`` lets pass), and its next stretch starts with the last ``overlap``
+    words again, so that runs of words over a cut are seen.  ``rows`` names each
+    piece's row in the batch, ``old`` how many words at its start were seen before.
+    """
+    if not batch.num_rows:
+        return
+    data, offsets = buffers(batch.column(column))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+        a, b = int(offsets[lo]), int(offsets[hi])
+        if hi > lo + 1 or b - a <= most:
+            yield data[a:b], offsets[lo: hi + 1] - a, np.arange(lo, hi), np.zeros(hi - lo, np.int64)
+        else:
+            for piece, seen in _cut(data[a:b], admits, overlap, most):
+                yield piece, np.array([0, len(piece)]), np.array([lo]), np.array([seen])
+        lo = hi
+
+
+def _cut(data: np.ndarray, admits: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+    lo, hi, seen = 0, 0, 0
+    while True:
+        hi = max(lo, hi) + most
+        while hi < len(data) and admits[data[hi]]:  # on to the end of the word
+            gap = np.flatnonzero(~admits[data[hi: hi + most]])
+            hi += int(gap[0]) if len(gap) else most
+        hi = min(hi, len(data))
+        yield data[lo:hi], seen
+        if hi == len(data):
+            return
+        back = 4096
+        while True:  # the start of the last words
+            tail = max(lo, hi - back)
+            starts, _, _ = spans(data[tail:hi], np.array([0, hi - tail]), admits)
+            if len(starts) > overlap or tail == lo:
+                break
+            back *= 4
+        seen = min(overlap, len(starts))
+        lo = tail + int(starts[-seen]) if seen else hi
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, admits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the number of words before each text (one more at the end)."""
     inside = admits[data]
@@ -68,7 +114,7 @@ def _inverse(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, inv)]))
 
 
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_TABLES: list[np.ndarray] = []
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -76,25 +122,35 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    return LOWER[data].astype(np.uint64) + np.uint64(1)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each word, A-Z in lower case, about a megabyte of bytes at a time."""
+    """A 64-bit polynomial hash of each word, A-Z in lower case, a megabyte of bytes at a time, however long a word is."""
+    if not _TABLES:
+        _TABLES.extend([_powers(_CHUNK + 1), _inverse(_CHUNK + 1)])
+    power, inverse = _TABLES
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
-        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _CHUNK, "right")))
-        lo, hi = int(starts[at]), int(ends[stop - 1])
-        size = max(_CHUNK, hi - lo) + 1
-        if size not in _TABLES:
-            if len(_TABLES) > 1:  # the usual size stays; a longer word's table is replaced
-                _TABLES.pop(max(_TABLES))
-            _TABLES[size] = _powers(size), _inverse(size)
-        power, inverse = _TABLES[size]
+        lo = int(starts[at])
+        stop = int(np.searchsorted(ends, lo + _CHUNK, "right"))
+        if stop <= at:  # a word longer than a chunk: the sum of its chunks
+            total = 0
+            for k in range(lo, int(ends[at]), _CHUNK):
+                block = _letters(data[k: min(k + _CHUNK, int(ends[at]))])
+                total += int((block * power[: len(block)]).sum()) * pow(int(_ODD), k - lo, 1 << 64)
+            out[at] = total & ((1 << 64) - 1)
+            at += 1
+            continue
+        hi = int(ends[stop - 1])
         sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((LOWER[data[lo:hi]].astype(np.uint64) + np.uint64(1)) * power[: hi - lo], out=sums[1:])
+        np.cumsum(_letters(data[lo:hi]) * power[: hi - lo], out=sums[1:])
         s, e = starts[at:stop] - lo, ends[at:stop] - lo
-        out[at:stop] = mixed((sums[e] - sums[s]) * inverse[s])
+        out[at:stop] = (sums[e] - sums[s]) * inverse[s]
         at = stop
-    return out
+    return mixed(out)
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import configure
 from .chat_format import formatted_digests
 from .decontaminate import contamination, n_covered
+from .importance import importance
 from .licenses import license_scan
 from .line_dedup import dedup_lines
 from .mixing import mix, ranked_weights
@@ -96,6 +97,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_paragraphs", "n_licensed", "families", "family", "probability")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 _STOP_SQL = ", ".join(f"'{w}'" for w in sorted({w for s in STOP_WORDS.values() for w in s.split()}))
 
 SQL = {
@@ -112,6 +118,27 @@ t AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY it
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
   sha256(coalesce(t.items, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id""",
+    # A feature's CRC-32 goes bit by bit, least significant first, over the hexadecimal digits of its bytes.
+    "op11_importance": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+fd AS (SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+fb AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM b),
+u AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM fd UNION SELECT f FROM fb)),
+c AS (SELECT f, xor(list_reduce(list_transform(range(0, 4 * length(x)), lambda k: (strpos('0123456789ABCDEF', substr(x, 2 * (k // 8) + 2 - (k % 8) // 4, 1)) - 1) >> (k % 4) & 1),
+  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)), 4294967295), 4294967295) % 10000 AS bucket FROM u),
+s AS (SELECT bucket, count(*) AS n FROM fd JOIN c USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM fb JOIN c USING (f) GROUP BY bucket),
+z AS (SELECT (SELECT coalesce(sum(n), 0)::BIGINT FROM s) AS s, (SELECT coalesce(sum(n), 0)::BIGINT FROM t) AS t),
+g AS (SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * (z.s + 10000))::DOUBLE / ((s.n + 1) * (z.t + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t ON t.bucket = s.bucket, z),
+m AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM fd JOIN c USING (f) JOIN g USING (bucket) GROUP BY r),
+v AS (SELECT d.r, d.doc_id, len(d.w) AS n_words, coalesce(m.n, 0)::BIGINT AS n_features,
+  CASE WHEN m.n IS NULL THEN 0 ELSE (m.total - ((m.total % m.n) + m.n) % m.n) // m.n END::BIGINT AS weight,
+  ('0x' || left(sha256('7:' || doc_id), 8))::BIGINT AS h FROM d LEFT JOIN m ON m.r = d.r),
+o AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM v),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM o WHERE n_words >= 20)
+SELECT o.doc_id, o.n_features, o.weight, o.score, CASE WHEN k.rank <= 25 * k.n // 100 THEN k.rank END AS rank FROM o LEFT JOIN k ON k.r = o.r""",
     "op5_url_reputation": r"""
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
@@ -207,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_importance": op11_importance,
 }
 
 
