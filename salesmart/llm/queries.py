@@ -19,6 +19,7 @@ from .simhash import near_duplicates
 from .text import n_words
 from .token_ids import token_ids
 from .url_reputation import Rule, judge_urls
+from .warc import archived
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -102,6 +103,11 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archived(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _STOP_SQL = ", ".join(f"'{w}'" for w in sorted({w for s in STOP_WORDS.values() for w in s.split()}))
 
 SQL = {
@@ -139,6 +145,12 @@ v AS (SELECT d.r, d.doc_id, len(d.w) AS n_words, coalesce(m.n, 0)::BIGINT AS n_f
 o AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM v),
 k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM o WHERE n_words >= 20)
 SELECT o.doc_id, o.n_features, o.weight, o.score, CASE WHEN k.rank <= 25 * k.n // 100 THEN k.rank END AS rank FROM o LEFT JOIN k ON k.r = o.r""",
+    "op13_warc": r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+k AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN octet_length(body) >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM k""",
     "op5_url_reputation": r"""
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
@@ -235,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
     "op11_importance": op11_importance,
+    "op13_warc": op13_warc,
 }
 
 
