@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
 from .chat_format import formatted_digests
+from .collocations import collocations
 from .decontaminate import contamination, n_covered
 from .importance import importance
 from .licenses import license_scan
@@ -103,6 +104,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents", "lang", "text"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archived(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -145,6 +150,25 @@ v AS (SELECT d.r, d.doc_id, len(d.w) AS n_words, coalesce(m.n, 0)::BIGINT AS n_f
 o AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM v),
 k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM o WHERE n_words >= 20)
 SELECT o.doc_id, o.n_features, o.weight, o.score, CASE WHEN k.rank <= 25 * k.n // 100 THEN k.rank END AS rank FROM o LEFT JOIN k ON k.r = o.r""",
+    "op12_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, phrase, k, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT f.*, x.cut, array_to_string(list_slice(string_split(phrase, ' '), 1, x.cut), ' ') AS lp,
+  array_to_string(list_slice(string_split(phrase, ' '), x.cut + 1, k), ' ') AS rp FROM f, (VALUES (1), (2)) x(cut) WHERE x.cut < k),
+s AS (SELECT c.lang, c.phrase, c.k, c.a, c.cut, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.lp JOIN f r ON r.lang = c.lang AND r.phrase = c.rp),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM s) WHERE nth = 1),
+i AS (SELECT lang, a, unnest([array_to_string(list_slice(string_split(phrase, ' '), 1, 2), ' '),
+  array_to_string(list_slice(string_split(phrase, ' '), 2, 3), ' ')]) AS phrase FROM f WHERE k = 3),
+x AS (SELECT lang, phrase, max(a) AS around FROM i GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN x ON x.lang = b.lang AND x.phrase = b.phrase WHERE x.around IS NULL OR 100 * x.around < 50 * b.a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k)
+SELECT o.lang, o.rank, o.phrase, o.a, o.l, o.r, t.n, o.score FROM o JOIN t ON t.lang = o.lang WHERE o.rank <= 2000""",
     "op13_warc": r"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 k AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
@@ -247,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
     "op11_importance": op11_importance,
+    "op12_collocations": op12_collocations,
     "op13_warc": op13_warc,
 }
 
