@@ -5,23 +5,27 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import stage, staging_dir
-from .simple8b import file_bytes, read_file
+from .blobs import read_blobs, write_blobs
+from .bytescan import buffers, parts
+from .simple8b import MAGIC, file_bytes, read_file
 
-CACHE = 600_000  # pieces whose ids a worker remembers
+CACHE_BYTES = 64 << 20  # what a worker may spend on remembering the ids of pieces
 FILE_IDS = 4_000_000  # a file is closed after the document that passes this many ids
+_SLICE = 4 << 20  # bytes of text that are encoded together
+_ENTRY = 200  # bytes of memory of a remembered piece beside its letters and ids
+_END = "\n"  # stands behind each file's last byte
 _ODD_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: how byte-level vocabularies cut a text into words.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -36,11 +40,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-_ID = attrgetter("id")
-
-
-class _Odd(Exception):
-    """White space at a piece's edge could join its neighbour's."""
+_POINTS = ".,;:!?"
 
 
 def _four_bytes(ids) -> bytes:
@@ -51,28 +51,15 @@ def _four_bytes(ids) -> bytes:
     return made.tobytes()
 
 
-class _Known(dict):
-    """Ids of pieces, learned when they are first asked for; emptied when full."""
-
-    def __init__(self, learn, most: int):
-        super().__init__()
-        self.learn, self.most = learn, most
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.learn(piece)
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = ids
-        return ids
-
-
 class Encoder:
     """Ids of texts by a vocabulary file of the tokenizers library, special tokens read as ordinary text.
 
     A byte-level pattern never joins text across a single blank between two
-    words, nor across a single line feed between two words; so such texts are
-    encoded piece by piece, and the ids of pieces seen before are remembered.
-    Other vocabularies and texts are encoded whole.
+    words, nor across a single line feed between two words; so texts are cut
+    there, each different piece of many texts is encoded once, and the ids of
+    pieces seen lately are remembered.  Where white space at a piece's
+    edge could join its neighbour's, the text is cut at single blanks only.
+    Other vocabularies encode whole texts.
     """
 
     def __init__(self, path: str):
@@ -86,49 +73,85 @@ class Encoder:
         self.by_piece = (made.get("normalizer") is None and made.get("post_processor") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
         self.model = self.library.model
-        self.pieces, self.words = _Known(self._piece, CACHE), _Known(self._word, CACHE // 4)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.spent = 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes:
-        core = word.removeprefix(" ")
-        if core.isascii() and core.isalnum():
-            letters = word if core is word else _LETTERS[32] + core
-        else:
-            letters = word.encode().decode("latin-1").translate(_LETTERS)
-        return _four_bytes(map(_ID, self.model.tokenize(letters)))
-
-    def _piece(self, piece: str) -> bytes:
-        cut = piece[:1] == "\0"  # a piece cut between two words with one blank only
-        if cut:
-            piece = piece[1:]
-        core = piece.removeprefix(" ")
+    def _word(self, word: bytes) -> bytes:
+        return _four_bytes([t.id for t in self.model.tokenize(word.decode("latin-1").translate(_LETTERS))])
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a piece; none for one that must not stand alone, as white space at its edge could join its neighbour's."""
+        text = piece.decode()
+        core = text.removeprefix(" ")
         if core and max(core) <= _PLAIN_TOP:
             if core.isalpha():
                 return self._word(piece)
-            if core[:-1].isalpha() and core[-1] in ".,;:!?":
-                return self.words[piece[:-1]] + self.words[core[-1]]
+            if core[-1] in _POINTS and core[:-1].isalpha():
+                return (self.young.get(piece[:-1]) or self._word(piece[:-1])) + self._word(piece[-1:])
             if core.strip() == core and len(core.split()) == 1:
-                return b"".join([self.words[w] for w in _WORDS.findall(piece)])
-        if not cut and piece != "\n" and (not core or core != core.strip()):
-            raise _Odd
-        return self.whole([piece])[0]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_piece:
-            return self.whole(texts)
-        out, get = [], self.pieces.__getitem__
-        for t in texts:
-            try:
-                if "\0" in t:
-                    raise _Odd
-                out.append(b"".join(map(get, t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))))
-            except _Odd:
-                first, *rest = _ODD_SPACE.split(t)
-                out.append(b"".join(map(get, ["\0" + first, *["\0 " + r for r in rest]])))
-        return out
+                return b"".join([self._word(w.encode()) for w in _WORDS.findall(text)])
+        if text != "\n" and (not core or core != core.strip()):
+            return b""
+        return self.whole([text])[0]
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece.  Pieces not asked for while half the memory filled are forgotten."""
+        found = list(map(self.young.get, pieces))
+        tokenize = self.model.tokenize
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            piece = pieces[k]
+            ids = self.old.get(piece)
+            if ids is None:
+                core = piece[1:] if piece[:1] == b" " else piece
+                if core.isalpha():  # for bytes, ASCII letters: nearly half of all
+                    word = core.decode()
+                    ids = _four_bytes([t.id for t in tokenize(word if core is piece else _LETTERS[32] + word)])
+                else:
+                    ids = self._piece(piece)
+            found[k] = self.young[piece] = ids
+            self.spent += len(piece) + len(ids) + _ENTRY
+            if self.spent > CACHE_BYTES // 2:
+                self.old, self.young, self.spent = self.young, {}, 0
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has; a null text has none."""
+        data, offsets = buffers(texts)
+        if not self.by_piece or not len(data):
+            return _joined(self.whole([data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]))
+        # A piece starts with each text, at each blank, and at and behind each line feed.
+        cuts = np.flatnonzero((data == 32) | (data == 10))
+        feed = data[cuts] == 10
+        starts = np.repeat(cuts, 1 + feed)
+        starts[np.cumsum(1 + feed)[feed] - 1] += 1
+        upto = np.concatenate([[0], np.cumsum(1 + feed)])[np.searchsorted(cuts, offsets)]  # pieces cut before each text
+        starts = np.insert(starts, upto[:-1], offsets[:-1])
+        first = upto[:-1] + np.arange(len(offsets) - 1)
+        bounds = np.append(starts, len(data))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        flat, size = _joined(self._ids(coded.dictionary.to_pylist()))
+        n = size[at]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(size) - size)[at] - (ends - n), n) + np.arange(ends[-1])]
+        lengths = np.add.reduceat(n, first)
+        odd = np.flatnonzero(np.logical_or.reduceat(n == 0, first) & (offsets[:-1] < offsets[1:]))
+        if not len(odd):
+            return ids, lengths
+        each = np.split(ids, np.cumsum(lengths)[:-1])
+        for k in odd.tolist():
+            head, *rest = _ODD_SPACE.split(data[offsets[k]: offsets[k + 1]].tobytes().decode())
+            each[k] = _joined(self.whole([head, *[" " + r for r in rest]]))[0]
+        return np.concatenate(each), np.array([len(e) for e in each])
+
+
+def _joined(coded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(coded), "<u4"), np.fromiter(map(len, coded), np.int64, len(coded)) // 4
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -147,66 +170,77 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
 
     A null text is empty, ``end_id`` ends every document.  Null ids come first;
     rows with the same id follow one another by text; repeated rows are all
-    written.  Other columns are not read.
+    written.  Other columns are not read.  An empty table makes no file with ids.
 
     Scale: documents are range-partitioned by id, so files, in the order of
-    their names, are in the order of ids.  Each task writes its own files, a
-    document never spans two.  A file appears under its final name only when it
-    is whole, and a repeated task writes the same files again, so lost
-    executors and speculative copies do no harm.
+    task and number within it, are in the order of ids.  Each task writes its
+    own files, a document never spans two.  Spark's writer commits them, in any
+    store it knows, so lost executors and speculative copies do no harm.
     """
-    from pyarrow import fs
-
-    store, root = fs.FileSystem.from_uri(folder)
-    store.create_dir(root, recursive=True)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        store, root = fs.FileSystem.from_uri(folder)
         encode = encoder(vocabulary)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        ids, names, lengths, n, nth = [], [], [], 0, 0
-
-        def close() -> pa.RecordBatch:
-            nonlocal ids, names, lengths, n, nth
-            name = f"ids-{task.partitionId():06d}-{nth:05d}.s8b"
-            body = file_bytes(np.frombuffer(b"".join(ids), "<u4"), names, lengths)
-            part = f"{root}/.{name}.{task.taskAttemptId()}"
-            with store.open_output_stream(part) as out:
-                out.write(body)
-            store.move(part, f"{root}/{name}")
-            row = pa.RecordBatch.from_pydict({"file": [name], "n_docs": [len(names)], "n_ids": [n]})
-            ids, names, lengths, n, nth = [], [], [], 0, nth + 1
-            return row
+        names, held, lengths, n = [], [], [], 0
+
+        def closed() -> pa.RecordBatch:
+            nonlocal names, held, lengths, n
+            body = file_bytes(np.concatenate(held), names, lengths)
+            names, held, lengths, n = [], [], [], 0
+            return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], names=["body"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                for d, coded in zip(part.column("id").to_pylist(), encode(part.column("text").to_pylist())):
-                    ids.append(coded + end)
-                    names.append(d)
-                    lengths.append(len(ids[-1]) // 4)
-                    n += lengths[-1]
+            for part in parts(batch, "text", _SLICE):
+                ids, size = encode(part.column("text"))
+                if end_id is not None:
+                    ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
+                ends, docs_here, lo = np.cumsum(size), part.column("id").to_pylist(), 0
+                while lo < len(size):
+                    before = int(ends[lo] - size[lo])
+                    hi = min(len(size), int(np.searchsorted(ends, before + file_ids - n)) + 1)
+                    held.append(ids[before: ends[hi - 1]])
+                    names += docs_here[lo:hi]
+                    lengths += size[lo:hi].tolist()
+                    n += int(ends[hi - 1]) - before
+                    lo = hi
                     if n >= file_ids:
-                        yield close()
+                        yield closed()
         if names:
-            yield close()
+            yield closed()
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     placed = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    return stage(placed.mapInArrow(run, "file string, n_docs long, n_ids long"), "token-files")
+    write_blobs(placed.mapInArrow(run, "body binary"), folder, _END)
+    return token_files(docs.sparkSession, folder)
+
+
+def _body(content: pa.Scalar) -> memoryview:
+    return memoryview(content.as_buffer())[: -len(_END)]
+
+
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, n_docs, n_ids`` of the files in ``folder``, from their indexes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                body = _body(content)
+                size = struct.unpack_from("<Q", body, len(body) - len(MAGIC) - 8)[0]
+                _, n_docs, n_ids = struct.unpack_from("<QQQ", body, len(body) - len(MAGIC) - 8 - size)
+                yield pa.RecordBatch.from_pydict({"file": [path.rpartition("/")[2]], "n_docs": [n_docs], "n_ids": [n_ids]})
+
+    return read_blobs(spark, folder).mapInArrow(run, "file string, n_docs long, n_ids long")
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row ``id, start, n_tokens, ids_crc32`` per document of the files in ``folder``.
 
     ``start`` counts the ids of all documents before.  Inside a file it is a
-    running sum; files are shifted by the sum of those before (one row per file).
+    running sum; a file is shifted by the files before it of the same writing
+    task, a task's files by all tasks before.  Null ids, repeated ids and rows
+    without ids come back as they were written; a folder without files gives no row.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, body in zip(batch.column("path").to_pylist(), batch.column("content")):
-                ids, docs, lengths = read_file(memoryview(body.as_buffer()), "<u4")
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                ids, docs, lengths = read_file(_body(content), "<u4")
                 ends = np.cumsum(lengths)
                 begins = ends - lengths
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
@@ -214,11 +248,16 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array([path.rpartition("/")[2]] * len(docs)), pa.array(docs, pa.int64()), pa.array(begins), pa.array(lengths),
                      pa.array(crc, pa.int64())], names=["file", "id", "inside", "n_tokens", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.s8b").load(folder).select("path", "content")
-    read = stage(files.mapInArrow(run, "file string, id long, inside long, n_tokens long, ids_crc32 long"), "read-ids")
-    sums = read.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    shift = sums.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("shift"))
-    return read.join(shift, "file").select("id", (F.col("inside") + F.col("shift")).alias("start"), "n_tokens", "ids_crc32")
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("int")
+    read = read_blobs(spark, folder).mapInArrow(run, "file string, id long, inside long, n_tokens long, ids_crc32 long")
+    read = read.select(number(r"^part-(\d+)-").alias("task"), number(r"-c(\d+)\.").alias("nth"), "id", "inside", "n_tokens", "ids_crc32")
+    read = stage(read, "read-ids")
+    files = read.groupBy("task", "nth").agg(F.sum("n_tokens").alias("n"))
+    tasks = files.groupBy("task").agg(F.sum("n").alias("all"))
+    tasks = tasks.select("task", (F.sum("all").over(Window.orderBy("task")) - F.col("all")).alias("before"))  # a row a task, not a file
+    within = F.sum("n").over(Window.partitionBy("task").orderBy("nth")) - F.col("n")
+    shift = files.select("task", "nth", within.alias("shift")).join(tasks, "task").select("task", "nth", (F.col("shift") + F.col("before")).alias("shift"))
+    return read.join(shift, ["task", "nth"]).select("id", (F.col("inside") + F.col("shift")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = 2, doc_id: str = "doc_id", text: str = "text",
@@ -226,6 +265,5 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = 2, doc_id:
     """Writes ``docs`` as token-id files and reads them back; an empty table gives no file and no row."""
     spark = docs.sparkSession
     folder = folder or staging_dir(spark, "token-ids")
-    if write_token_files(docs, vocabulary, folder, end_id, doc_id, text).isEmpty():
-        return spark.createDataFrame([], "id long, start long, n_tokens long, ids_crc32 long")
+    write_token_files(docs, vocabulary, folder, end_id, doc_id, text)
     return read_token_files(spark, folder)

@@ -281,20 +281,28 @@ def test_simple8b_packs():
         simple8b.read_file(b"S8BIDS01 broken")
 
 
+def _same_ids(encode, texts):
+    ids, lengths = encode(pa.array([None, *texts, ""]))
+    want = encode.whole(texts)
+    return ids.astype("<u4").tobytes() == b"".join(want) and lengths.tolist() == [0, *[len(w) // 4 for w in want], 0]
+
+
 def test_piecewise_ids_are_the_library_s():
     r = random.Random(6)
     bits = ["a", "foo", "Bar", " ", "  ", "\n", "\n\n", "\t", " ", "é", "!", "'s", "1", "\0", "<|endoftext|>", "　", "\x1c", "\x85", "日本", " x", "\r\n"]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 30))) for _ in range(5000)]
     encode = token_ids.Encoder(vocabulary())
     assert encode.by_piece
-    assert encode(texts) == encode.whole(texts)
+    assert _same_ids(encode, texts)
 
 
 def test_the_memory_of_pieces_is_bounded(monkeypatch):
-    monkeypatch.setattr(token_ids, "CACHE", 50)
+    monkeypatch.setattr(token_ids, "CACHE_BYTES", 20_000)
     encode = token_ids.Encoder(vocabulary())
-    texts = [prose(30, i) for i in range(600)]
-    assert encode(texts) == encode.whole(texts)
+    for lo in range(0, 600, 60):
+        assert _same_ids(encode, [prose(30, i) for i in range(lo, lo + 60)])
+    held = sum(len(k) + len(v) + token_ids._ENTRY for known in (encode.young, encode.old) for k, v in known.items())
+    assert 0 < held <= 21_000
 
 
 def test_token_files_of_hard_rows(spark):

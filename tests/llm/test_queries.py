@@ -25,7 +25,7 @@ def test_same_rows_as_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     names = driver.queries()
-    assert [n.partition("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.partition("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(SQL) <= set(driver.oracle_sql())
 
