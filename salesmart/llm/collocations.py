@@ -33,8 +33,8 @@ WORDS = ~(BREAKS | np.isin(np.arange(256), list(b" \t")))
 NO_LANG = "und"
 MAX_SHARDS = 8
 _SHARD_BITS = 3
-_STRETCH = 1 << 23  # bytes scanned at once
-_HELD = 1 << 22  # hashes a task counts before it sends them on
+_STRETCH = 1 << 21  # bytes scanned at once
+_HELD = 1 << 21  # hashes a task counts before it sends them on
 _LEAST_BITS, _MOST_BITS = 16, 28  # the candidate filter: 8 KB to 32 MB
 _PLACE_BITS = 15  # places of one built-in bitmap
 
@@ -225,7 +225,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", *, mos
 
     Scale: three scans of the texts, none of them shuffled.  Mining shuffles
     hashes with counts, summed in the task; the last scan shuffles only phrases
-    that pass a filter of 32 MB at most.  A task holds 4 million hashes or 8 MB
+    that pass a filter of 32 MB at most.  A task holds 2 million hashes and 2 MB
     of text at a time.  A very frequent phrase is one row a task.  Ranks are
     found in groups of a language's phrases first, so no task sorts them all.
     """
