@@ -1 +1 @@
-from .intake_stream import read_result, stream_intake  # noqa: F401
+from .intake_stream import arrival, read_result, stream_intake  # noqa: F401
