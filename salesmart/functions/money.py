@@ -43,10 +43,12 @@ def units(c: Column) -> Column:
 
 
 def half_even_div(n: Column, d: Column | int) -> Column:
-    """n / d in whole numbers, rounded half to even, for n >= 0 and d > 0."""
+    """n / d in whole numbers, rounded half to even, for d > 0; a negative n rounds like its amount."""
     d = F.lit(d) if isinstance(d, int) else d
-    q, twice = F.call_function("div", n, d), (n % d) * 2
-    return q + F.when((twice > d) | ((twice == d) & (q % 2 == 1)), 1).otherwise(0)
+    amount = F.abs(n)
+    q, twice = F.call_function("div", amount, d), (amount % d) * 2
+    rounded = q + F.when((twice > d) | ((twice == d) & (q % 2 == 1)), 1).otherwise(0)
+    return F.when(n < 0, -rounded).otherwise(rounded)
 
 
 def ratio(a: Column, b: Column) -> Column:

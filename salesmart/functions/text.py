@@ -47,17 +47,20 @@ _LONGER_CLASS = _class_of(_LONGER)
 
 def _spelled_out(c: Column) -> Column:
     """Ligatures, fractions and the like as their letters; only texts that have such characters are looked at."""
-    table = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in _LONGER.items() if "'" not in v and "\\" not in v) + ")"
-    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(F.expr(table), ch), ch))
+    # Two constants that the optimizer folds into one map.
+    table = F.map_from_arrays(F.split(F.lit("".join(_LONGER)), ""), F.split(F.lit("\x01".join(_LONGER.values())), "\x01"))
+    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(table, ch), ch))
     return F.when(c.rlike(_LONGER_CLASS), F.array_join(letters, "")).otherwise(c)
 
 
 def norm_name(c: Column) -> Column:
     """Spelling-insensitive name: compatibility forms decomposed, no accents, lower case, trimmed, one spelling of ceviche.
 
-    Letters written as base + combining mark lose the mark too.
+    Letters written as base + combining mark lose the mark too.  A text of ASCII
+    letters only has nothing to decompose and skips that.
     """
-    plain = F.translate(_spelled_out(c), ACCENTED, PLAIN)
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    plain = F.when(ascii_only, c).otherwise(F.translate(_spelled_out(c), ACCENTED, PLAIN))
     return F.replace(F.trim(F.lower(plain), F.lit(_BLANKS)), F.lit("cebiche"), F.lit("ceviche"))
 
 

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import calendar, money, text
 from ..session import stage
@@ -325,22 +325,53 @@ def compare_copies(a: DataFrame, b: DataFrame) -> DataFrame:
         F.col("h_a").eqNullSafe(F.col("h_b")).cast("int").alias("contenido_igual"))
 
 
-def step_log(steps: Sequence[tuple[str, str, DataFrame | None, DataFrame | None, Column | None]]) -> DataFrame:
-    """(paso, descripcion, filas_in, filas_out, filas_afectadas, marca_tiempo), one row per ETL step.
+class StepLog:
+    """The step log of an ETL run, counted by the run itself.
 
-    Each step gives the frame before, the frame after and an aggregate over the
-    frame after for the rows it affected.  A frame that several steps name is
-    evaluated once, with all their counters in one aggregate.
+    Every frame that passes through ``before``, ``after`` or ``step`` counts its
+    rows while the run's own jobs read it (``DataFrame.observe``); nothing is
+    evaluated again for the log.  ``rows`` belongs after those jobs: it waits for
+    the counters of every named frame, so each must be part of what was run, and
+    of one job's plan only.  A range partitioning above it would read it twice
+    (it samples first) and count it twice: write such a frame first.  Rows come in
+    the order in which steps were named.  A stage that is computed again after a
+    lost executor counts its rows again: the log tells what the run read, the
+    tables what they hold.
     """
-    names = ("filas_in", "filas_out", "filas_afectadas")
-    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
-    for n, (step, description, before, after, affected) in enumerate(steps):
-        for df, name, value in ((before, "filas_in", F.count(F.lit(1))), (after, "filas_out", F.count(F.lit(1))), (after, "filas_afectadas", affected)):
-            if df is not None and value is not None:
-                counted = F.coalesce(value, F.lit(0)).cast("bigint")
-                frames.setdefault(id(df), (df, []))[1].append(F.struct(
-                    F.lit(n).alias("_n"), F.lit(step).alias("paso"), F.lit(description).alias("descripcion"),
-                    *[(counted if c == name else F.lit(0).cast("bigint")).alias(c) for c in names]))
-    rows = [df.agg(F.array(*cells).alias("s")).select(F.inline("s")) for df, cells in frames.values()]
-    merged = reduce(DataFrame.unionByName, rows).groupBy("_n", "paso", "descripcion").agg(*[F.sum(c).alias(c) for c in names])
-    return merged.orderBy("_n").drop("_n").withColumn("marca_tiempo", F.current_timestamp())
+
+    COUNTERS = ("filas_in", "filas_out", "filas_afectadas")
+    SCHEMA = "paso string, descripcion string, filas_in bigint, filas_out bigint, filas_afectadas bigint"
+
+    def __init__(self) -> None:
+        self._steps: dict[str, str] = {}
+        self._seen: list[tuple[str, Observation]] = []
+
+    def _watch(self, step: str, description: str, df: DataFrame, **counters: Column) -> DataFrame:
+        if self._steps.setdefault(step, description) != description:
+            raise ValueError(f"step {step} has two descriptions")
+        counted = [F.coalesce(c, F.lit(0)).cast("bigint").alias(name) for name, c in counters.items()]
+        seen = Observation(f"{step}-{len(self._seen)}")
+        self._seen.append((step, seen))
+        return df.observe(seen, *counted)
+
+    def before(self, step: str, description: str, df: DataFrame) -> DataFrame:
+        """``df`` as what ``step`` takes."""
+        return self._watch(step, description, df, filas_in=F.count(F.lit(1)))
+
+    def after(self, step: str, description: str, df: DataFrame, affected: Column | None = None) -> DataFrame:
+        """``df`` as what ``step`` gives; ``affected`` is an aggregate over it."""
+        extra = {} if affected is None else {"filas_afectadas": affected}
+        return self._watch(step, description, df, filas_out=F.count(F.lit(1)), **extra)
+
+    def step(self, step: str, description: str, df: DataFrame, affected: Column | None = None) -> DataFrame:
+        """``df`` as what a step takes and gives that neither adds nor drops a row."""
+        extra = {} if affected is None else {"filas_afectadas": affected}
+        return self._watch(step, description, df, filas_in=F.count(F.lit(1)), filas_out=F.count(F.lit(1)), **extra)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(paso, descripcion, filas_in, filas_out, filas_afectadas, marca_tiempo), one row per step."""
+        found = {step: dict.fromkeys(self.COUNTERS, 0) for step in self._steps}
+        for step, seen in self._seen:
+            found[step].update(seen.get)
+        rows = [(step, self._steps[step], *[counted[c] for c in self.COUNTERS]) for step, counted in found.items()]
+        return spark.createDataFrame(rows, self.SCHEMA).withColumn("marca_tiempo", F.current_timestamp())

@@ -522,9 +522,9 @@ _FEED_FROM = ("(SELECT * FROM events WHERE event_type = 'purchase') e "
               f"JOIN platos p ON p.id_plato = {DISH_KEY.format(_DUCK('dishes'))}")
 
 def half_even(n: str, d: str) -> str:
-    """SQL for n / d rounded half to even, whole numbers, n >= 0 and d > 0."""
-    q, r = f"(({n}) // ({d}))", f"(({n}) % ({d}))"
-    return f"({q} + CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q} % 2 = 1) THEN 1 ELSE 0 END)"
+    """SQL for n / d rounded half to even, whole numbers, d > 0; the sign is taken out first."""
+    q, r = f"(abs({n}) // ({d}))", f"(abs({n}) % ({d}))"
+    return f"(sign({n})::BIGINT * ({q} + CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q} % 2 = 1) THEN 1 ELSE 0 END))"
 
 
 _NORM = "replace(lower(trim(strip_accents({0}), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), 'cebiche', 'ceviche')"

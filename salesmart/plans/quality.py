@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import money
 from ..operators import intake, quality, stats, warehouse, windows
+from ..session import stage
 from ..sources.tables import Tables
 from . import bindings as b
 from .registry import query
@@ -134,16 +135,19 @@ def _(t: Tables):
     UNION ALL SELECT 'T05', count(*), count(*), count(dni) FROM clientes
     UNION ALL SELECT 'L03', (SELECT count(*) FROM part), count(*), count(*) FROM dim_plato"""))
 def _(t: Tables):
-    clean = warehouse.clean_feed(b.feed(t), b.platos(t), b.FIRST)
-    people, dishes = b.clientes(t), b.star(t)["dim_plato"]
-    log = quality.step_log([
-        ("T01", "Eliminar duplicados por order_ref", b.feed(t), clean, None),
-        ("T02", "Normalizar nombre de plato contra catálogo", clean, clean, F.count_if(F.col("plato") != F.col("nombre_plato"))),
-        ("T03", "Imputar precio_bruto nulo", clean, clean, F.sum("precio_imputado")),
-        ("T05", "Seudonimizar DNI", people, people, F.count("dni")),
-        ("L03", "Construir Dim_Plato", b.platos(t), dishes, F.count(F.lit(1))),
-    ])
-    return log.drop("marca_tiempo", "descripcion")
+    log = quality.StepLog()
+    names = F.count_if(F.col("plato") != F.col("nombre_plato"))
+    raw = log.before("T01", "Eliminar duplicados por order_ref", b.feed(t))
+    clean = log.after("T01", "Eliminar duplicados por order_ref", warehouse.clean_feed(raw, b.platos(t), b.FIRST))
+    clean = log.step("T02", "Normalizar nombre de plato contra catálogo", clean, names)
+    clean = log.step("T03", "Imputar precio_bruto nulo", clean, F.sum("precio_imputado"))
+    people = log.step("T05", "Seudonimizar DNI", b.clientes(t), F.count("dni"))
+    dishes = log.after("L03", "Construir Dim_Plato", log.before("L03", "Construir Dim_Plato", b.platos(t)), F.count(F.lit(1)))
+    # The run: each source is read once, to be written; keys are dealt out afterwards, as that samples its input.
+    stage(clean, "feed")
+    warehouse.build_dim_customer(stage(people, "clientes"), b.AS_OF, b.SALT)
+    warehouse.build_dim_dish(stage(dishes, "platos"))
+    return log.rows(t.spark).drop("marca_tiempo", "descripcion")
 
 
 @query("q13_impute_price", b.sql("feed platos", f"""

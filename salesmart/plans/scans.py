@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality, stats, warehouse
-from ..session import staging_dir
+from ..session import stage, staging_dir
 from ..sources import feeds, schemas, writers
 from ..sources.tables import Tables
 from . import bindings as b
@@ -232,15 +232,16 @@ def _(t: Tables):
     UNION ALL SELECT 'L03', count(*), count(*), 0 FROM platos"""))
 def _(t: Tables):
     raw, dishes = b.feed(t), b.platos(t)
-    first = quality.windows.dedupe_first(raw, ["order_ref"], b.FIRST)
-    log = quality.step_log([
-        ("E02", "Extracción de la fuente externa", None, raw, None),
-        ("T01", "Eliminar duplicados por order_ref", raw, first, None),
-        ("L03", "Construir dimensión de platos", dishes, dishes, None),
-    ])
+    log = quality.StepLog()
+    raw = log.after("E02", "Extracción de la fuente externa", raw)
+    raw = log.before("T01", "Eliminar duplicados por order_ref", raw)
+    first = log.after("T01", "Eliminar duplicados por order_ref", quality.windows.dedupe_first(raw, ["order_ref"], b.FIRST))
+    dishes = log.step("L03", "Construir dimensión de platos", dishes)
+    stage(first, "feed")
+    warehouse.build_dim_dish(stage(dishes, "platos"))
     dropped = F.when(F.col("paso") == "T01", F.col("filas_in") - F.col("filas_out")).otherwise(F.col("filas_afectadas"))
     path = staging_dir(t.spark, "etl_log")
-    writers.write_step_log(log.withColumn("filas_afectadas", dropped), path)
+    writers.write_step_log(log.rows(t.spark).withColumn("filas_afectadas", dropped), path)
     schema = "paso string, descripcion string, filas_in bigint, filas_out bigint, filas_afectadas bigint, marca_tiempo timestamp"
     return feeds.read_csv(t.spark, f"{path}/csv", schema).select("paso", "filas_in", "filas_out", "filas_afectadas")
 

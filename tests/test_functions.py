@@ -127,3 +127,22 @@ def test_arrays(spark):
     rows = [(["a", "b"],), (None,), ([],)]
     got = values(spark, rows, "t array<string>", arrays.has_all(F.col("t"), ["a", "b"]), arrays.push(F.col("t"), "z"))
     assert got == [(True, ["a", "b", "z"]), (False, ["z"]), (False, ["z"])]
+
+
+def test_whole_number_rounding_of_refunds(spark):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    pairs = [(n, d) for n in range(-260, 261) for d in (1, 2, 3, 7, 100)]
+    df = spark.createDataFrame(pairs, "n bigint, d bigint")
+    for n, d, got in df.select("n", "d", money.half_even_div(F.col("n"), F.col("d"))).collect():
+        assert got == int((Decimal(n) / Decimal(d)).quantize(Decimal(1), ROUND_HALF_EVEN)), (n, d)
+
+
+def test_names_of_every_script_are_normalised_as_by_the_rule(spark):
+    import unicodedata
+
+    names = ["Cebiche Clásico", "  LOMO saltado\t", "ﬁdeos ½ ㎏", "Ｃｅｂｉｃｈｅ", "ñandú", "é", "", "ŉ 'x' \\ |", "日本 ㍿", "a "]
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string")
+    got = [r[0] for r in df.select(text.norm_name(F.col("n"))).collect()]
+    plain = ["".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)).lower().strip() for n in names]
+    assert got == [p.replace("cebiche", "ceviche") for p in plain] + [None]

@@ -2,8 +2,10 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart import session
+from salesmart.operators import quality
 from salesmart.sources import feeds, schemas, writers
 
 
@@ -77,6 +79,26 @@ def test_step_log_as_csv_and_text(spark, tmp_path):
     assert tuple(back.first()) == ("T01", 'Quitar "dobles"', 5)
 
 
+def test_step_log_counts_while_the_run_reads(spark):
+    source = spark.range(100).selectExpr("id", "id % 7 AS k")
+    log = quality.StepLog()
+    rows = log.before("T01", "Quitar repetidos", source)
+    rows = log.after("T01", "Quitar repetidos", rows.dropDuplicates(["k"]))
+    rows = log.step("T02", "Marcar", rows, F.count_if(F.col("k") > 4))
+    empty = log.step("T03", "Nada", source.filter("id < 0"), F.sum("k"))
+    for df in (rows, empty):
+        session.stage(df, "step-log-test")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    found = log.rows(spark)
+    assert len(tracker.getJobIdsForGroup()) == before  # no job of its own
+    assert "LocalTableScan" in found._jdf.queryExecution().executedPlan().toString() or "ExistingRDD" in found._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r)[:5] for r in found.collect()]
+    assert got == [("T01", "Quitar repetidos", 100, 7, 0), ("T02", "Marcar", 7, 7, 2), ("T03", "Nada", 0, 0, 0)]
+    with pytest.raises(ValueError):
+        log.step("T01", "Otra cosa", source)
+
+
 def test_audit_log_only_grows(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = spark.createDataFrame([("a", "T", None, "1")], "accion string, tabla_afectada string, valor_anterior string, valor_nuevo string")
