@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,12 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import stage
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(columna, valor): one row per cell of the chosen columns."""
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns)
-    return df.selectExpr(f"stack({len(columns)}, {pairs}) as (columna, valor)")
-
-
 def describe_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, stddev, min and max of each column, one row per column.
 
@@ -126,10 +122,123 @@ def median_disc_over(df: DataFrame, by: Sequence[str], value: str, name: str = "
     return sizes.join(median_disc(df, by, value, name), list(by), "left")
 
 
+SKETCH_K = 4096  # size of a KLL sketch; its ranks are off by less than SKETCH_ERROR of the values with near certainty
+SKETCH_ERROR = 0.002
+_AROUND = (-SKETCH_ERROR, 0.0, SKETCH_ERROR)
+
+
+@dataclass
+class _Wanted:
+    """One wanted rank of a column: the value lies above ``low`` and below ``high`` (None: no bound), or is ``found``."""
+
+    column: str
+    name: str
+    rank: int  # among the values of the interval, from 1
+    inside: int  # values of the interval
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
+
+    def holds(self, v: Column) -> Column:
+        ok = F.lit(True)
+        if self.low is not None:
+            ok = ok & (v > self.low)
+        if self.high is not None:
+            ok = ok & (v < self.high)
+        return ok
+
+    def narrow(self, probes: list[float], below: list[int], upto: list[int]) -> None:
+        """Move to the part that holds the rank; ``below`` and ``upto`` count the interval's values < and <= each probe."""
+        low, high, before, end = self.low, self.high, 0, self.inside
+        for x, lt, le in zip(probes, below, upto):
+            if lt < self.rank <= le:
+                self.found = x
+                return
+            if le < self.rank:
+                low, before = x, le
+            elif lt >= self.rank:
+                high, end = x, lt
+                break
+        self.low, self.high, self.inside, self.rank = low, high, end - before, self.rank - before
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Mapping[str, float], most: int = RANKED_IN_ONE_TASK) -> DataFrame:
+    """(columna, one column per point): exact discrete percentiles of several columns, one row per column, as double.
+
+    NULLs do not count, NaN is larger than any number, a column without values
+    gives NULLs.  One aggregate over all columns makes a mergeable KLL sketch of
+    each; the sketch proposes three values around every wanted rank, and one
+    aggregate counts exactly how many values lie below and up to each of them.
+    That leaves an interval of about a two-hundredth of the values, or the answer
+    itself.  As long as an interval holds more than ``most`` values, it gets a
+    sketch and a count of its own: a round takes out the proposed values with all
+    their repetitions, so heavily repeated values end the search, they do not
+    stall it.  Then the few values inside are put in order.  Rows are never
+    multiplied or sorted, and a poor sketch costs rounds, never the right answer.
+    """
+    value = {c: F.col(c).cast("double") for c in columns}
+    plain = {c: F.when(~F.isnan(v), v) for c, v in value.items()}
+    # The first sketches are made in the scan that counts the values.
+    n = df.agg(*[f for i, c in enumerate(columns) for f in (
+        F.count(plain[c]).alias(f"n{i}"), F.count(value[c]).alias(f"all{i}"), F.kll_sketch_agg_double(plain[c], SKETCH_K).alias(f"s{i}"))])
+    shares = sorted({min(1.0, max(0.0, p + d)) for p in points.values() for d in _AROUND})
+    n = n.select("*", *[F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, shares)))).alias(f"q{i}")
+                        for i in range(len(columns))]).drop(*[f"s{i}" for i in range(len(columns))]).first()
+    answers: dict[tuple[str, str], float | None] = {}
+    wanted: list[_Wanted] = []
+    for i, c in enumerate(columns):
+        for name, p in points.items():
+            rank = max(1, math.ceil(n[f"all{i}"] * p))
+            if not n[f"all{i}"] or rank > n[f"n{i}"]:
+                answers[c, name] = float("nan") if n[f"all{i}"] else None
+            else:
+                wanted.append(_Wanted(c, name, rank, n[f"n{i}"]))
+    proposed = {(c, None, None): n[f"q{i}"] for i, c in enumerate(columns)}
+    while open_ := [w for w in wanted if w.found is None and w.inside > most]:
+        _probe(df, plain, open_, proposed)
+        proposed = {}
+    open_ = [w for w in wanted if w.found is None]
+    if open_:
+        cells = F.array(*[F.when(w.holds(plain[w.column]) & plain[w.column].isNotNull(),
+                                 F.struct(F.lit(k).alias("slot"), plain[w.column].alias("v"))) for k, w in enumerate(open_)])
+        counted = df.select(F.inline(F.array_compact(cells))).groupBy("slot", "v").agg(F.count(F.lit(1)).alias("n"))
+        placed = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("slot").orderBy("v")))
+        rank = F.element_at(F.array(*[F.lit(w.rank) for w in open_]), F.col("slot") + 1)
+        for row in placed.filter((rank <= F.col("upto")) & (rank > F.col("upto") - F.col("n"))).collect():  # one a wanted rank
+            open_[row.slot].found = row.v
+    answers |= {(w.column, w.name): w.found for w in wanted}
+    schema = ", ".join(["columna string", *[f"{name} double" for name in points]])
+    return df.sparkSession.createDataFrame([(c, *[answers[c, name] for name in points]) for c in columns], schema)
+
+
+def _probe(df: DataFrame, plain: Mapping[str, Column], wanted: list[_Wanted], proposed: Mapping[tuple, list[float]]) -> None:
+    """One round: values proposed by a sketch of every interval, where there are none yet, then exact counts around them."""
+    groups: dict[tuple, list[_Wanted]] = {}
+    for w in wanted:  # ranks in the same interval share its sketch and its values
+        groups.setdefault((w.column, w.low, w.high), []).append(w)
+    inside = {key: ws[0].holds(plain[key[0]]) for key, ws in groups.items()}
+    proposed = dict(proposed)
+    if missing := [key for key in groups if key not in proposed]:
+        sketches = df.agg(*[F.kll_sketch_agg_double(F.when(inside[key], plain[key[0]]), SKETCH_K).alias(f"s{g}") for g, key in enumerate(missing)])
+        shares = [sorted({min(1.0, max(0.0, w.rank / w.inside + d)) for w in groups[key] for d in _AROUND}) for key in missing]
+        row = sketches.select(*[F.kll_sketch_get_quantile_double(f"s{g}", F.array(*map(F.lit, ps))).alias(f"q{g}") for g, ps in enumerate(shares)]).first()
+        proposed |= {key: row[f"q{g}"] for g, key in enumerate(missing)}
+    probes = {key: sorted(set(proposed[key])) for key in groups}
+    counts = []
+    for g, key in enumerate(groups):
+        v = plain[key[0]]
+        for k, x in enumerate(probes[key]):
+            counts += [F.count_if(inside[key] & (v < x)).alias(f"lt{g}_{k}"), F.count_if(inside[key] & (v <= x)).alias(f"le{g}_{k}")]
+    row = df.agg(*counts).first()
+    for g, (key, ws) in enumerate(groups.items()):
+        found = range(len(probes[key]))
+        for w in ws:
+            w.narrow(probes[key], [row[f"lt{g}_{k}"] for k in found], [row[f"le{g}_{k}"] for k in found])
+
+
 def summary_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """describe plus exact quartiles, one row per column."""
-    quartiles = exact_percentiles(
-        _long(df, columns), ["columna"], "valor", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    quartiles = exact_quantiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return describe_cols(df, columns).join(quartiles, "columna", "left")
 
 

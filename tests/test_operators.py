@@ -139,6 +139,32 @@ def test_pivot_totals_count_members_not_shown(spark):
     assert got == {"a": (1.0, 6.0), "b": (None, 2.0), "Total": (1.0, 8.0)}
 
 
+@pytest.mark.parametrize("most", [0, 3, 50, 10_000])
+def test_exact_quantiles_against_sorting(spark, most):
+    """Few, heavily repeated, negative, missing and odd values; small ``most`` makes many rounds."""
+    r = random.Random(most)
+    nan = float("nan")
+    wide = [r.gauss(0, 50) for _ in range(3000)]
+    heavy = [5.0] * 2000 + [r.choice([1.0, 2.0, 5.0, 9.0]) for _ in range(500)] + [float(k) for k in range(500)]
+    odd = [nan] * 900 + [None] * 900 + [-0.0, float("inf"), -float("inf")] * 400
+    two = [1.0] * 1500 + [2.0] * 1500
+    columns = {"wide": wide, "heavy": heavy, "odd": odd, "two": two, "none": [None] * 3000, "one": [None] * 2999 + [7.0], "nan": [nan] * 3000}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"`{c}` double" for c in columns)).repartition(3)
+    points = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    got = {row.columna: row for row in stats.exact_quantiles(df, list(columns), points, most).collect()}
+    for c, values in columns.items():
+        held = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+        for name, p in points.items():
+            want = held[max(1, math.ceil(len(held) * p)) - 1] if held else None
+            assert got[c][name] == want or math.isnan(got[c][name]) and math.isnan(want), (c, name)
+
+
+def test_summary_does_not_multiply_rows(spark):
+    df = spark.range(100_000).selectExpr("id AS a", "id % 10 AS b", "CAST(NULL AS int) AS c")
+    got = {r.columna: (r.n, r.p25, r.p50, r.p75) for r in stats.summary_cols(df, ["a", "b", "c"]).collect()}
+    assert got == {"a": (100_000, 24_999, 49_999, 74_999), "b": (100_000, 2, 4, 7), "c": (0, None, None, None)}
+
+
 def test_exact_percentiles_without_groups(spark):
     df = spark.range(101).selectExpr("id AS v")
     assert rows(stats.exact_percentiles(df, [], "v", {"m": 0.5})) == [(50,)]
