@@ -310,21 +310,6 @@ def validate_amounts(orders: DataFrame, mode: str = "quarantine") -> tuple[DataF
     return orders.filter(~bad), orders.filter(bad)
 
 
-def compare_copies(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Row counts and order-independent content hash of two copies, and whether they agree."""
-    def hashed(df: DataFrame, side: str) -> DataFrame:
-        h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(20,0)")
-        return df.select(F.lit(side).alias("side"), h.alias("h"))
-    rows = hashed(a, "a").unionByName(hashed(b, "b"))
-    pair = rows.agg(*[
-        f for side in "ab" for f in (
-            F.count_if(F.col("side") == side).alias(f"filas_{side}"),
-            F.sum(F.when(F.col("side") == side, F.col("h"))).alias(f"h_{side}"))])
-    return pair.select(
-        "filas_a", "filas_b", (F.col("filas_a") == F.col("filas_b")).cast("int").alias("filas_iguales"),
-        F.col("h_a").eqNullSafe(F.col("h_b")).cast("int").alias("contenido_igual"))
-
-
 class StepLog:
     """The step log of an ETL run, counted by the run itself.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import money
-from ..operators import intake, quality, stats, warehouse, windows
+from ..operators import copies, intake, quality, stats, warehouse, windows
 from ..session import stage
 from ..sources.tables import Tables
 from . import bindings as b
@@ -254,11 +254,43 @@ def _(t: Tables):
     return _intake(t)[2]
 
 
-@query("q22_compare_copies", """
-    SELECT count(*) AS filas_a, count(*) AS filas_b, 1 AS filas_iguales, 0 AS contenido_igual FROM orders""")
+# A copy of the orders in which, in every fiftieth block of 64 ids, the first and the last order have swapped their amounts.
+COPIES = """copia AS (SELECT *, o_orderkey // 64 AS bloque, min(o_orderkey) OVER w AS primero, max(o_orderkey) OVER w AS ultimo FROM orders
+      WINDOW w AS (PARTITION BY o_orderkey // 64)),
+    otra AS (SELECT c.* REPLACE (CASE WHEN c.bloque % 50 = 0 AND c.o_orderkey = c.primero THEN u.o_totalprice
+        WHEN c.bloque % 50 = 0 AND c.o_orderkey = c.ultimo THEN p.o_totalprice ELSE c.o_totalprice END AS o_totalprice)
+      FROM copia c JOIN orders p ON p.o_orderkey = c.primero JOIN orders u ON u.o_orderkey = c.ultimo)"""
+_ORDER = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+
+def _swapped(t: Tables) -> DataFrame:
+    block = Window.partitionBy(F.expr("o_orderkey div 64")).orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = t.orders.withColumns({
+        "primero": F.first("o_orderkey").over(block), "ultimo": F.last("o_orderkey").over(block),
+        "monto_primero": F.first("o_totalprice").over(block), "monto_ultimo": F.last("o_totalprice").over(block)})
+    swap = F.expr("(o_orderkey div 64) % 50 = 0")
+    amount = F.when(swap & (F.col("o_orderkey") == F.col("primero")), F.col("monto_ultimo")).when(
+        swap & (F.col("o_orderkey") == F.col("ultimo")), F.col("monto_primero")).otherwise(F.col("o_totalprice"))
+    return ends.withColumn("o_totalprice", amount).select(*t.orders.columns)
+
+
+@query("q22_compare_copies", f"""WITH {COPIES},
+    c AS (SELECT {_ORDER} FROM orders), d AS (SELECT {_ORDER} FROM otra),
+    x AS (SELECT count(*) AS n FROM ((SELECT * FROM c EXCEPT ALL SELECT * FROM d) UNION ALL (SELECT * FROM d EXCEPT ALL SELECT * FROM c))),
+    e AS (SELECT count(*) AS n FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM c))
+    SELECT 'cambiada' AS copia, (SELECT count(*) FROM c) AS filas_a, (SELECT count(*) FROM d) AS filas_b,
+      CAST((SELECT count(*) FROM c) = (SELECT count(*) FROM d) AS INT) AS filas_iguales, CAST(n = 0 AS INT) AS contenido_igual FROM x
+    UNION ALL SELECT 'igual', (SELECT count(*) FROM c), (SELECT count(*) FROM c), CAST((SELECT count(*) FROM c) = (SELECT count(*) FROM c) AS INT), CAST(n = 0 AS INT) FROM e""")
 def _(t: Tables):
-    changed = t.orders.withColumn("o_totalprice", F.expr("CASE WHEN o_orderkey = 17 THEN 0.0D ELSE o_totalprice END"))
-    return quality.compare_copies(t.orders, changed.repartition("o_custkey"))
+    changed = copies.compare_copies(t.orders, _swapped(t)).withColumn("copia", F.lit("cambiada"))
+    return changed.unionByName(copies.compare_copies(t.orders, t.orders.repartition("o_custkey")).withColumn("copia", F.lit("igual")))
+
+
+@query("q22_differing_rows", f"""WITH {COPIES}, c AS (SELECT {_ORDER} FROM orders), d AS (SELECT {_ORDER} FROM otra)
+    SELECT o_orderkey, o_totalprice, 'a' AS lado, count(*) AS veces FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM d) GROUP BY 1, 2
+    UNION ALL SELECT o_orderkey, o_totalprice, 'b', count(*) FROM (SELECT * FROM d EXCEPT ALL SELECT * FROM c) GROUP BY 1, 2""")
+def _(t: Tables):
+    return copies.diff_copies(t.orders, _swapped(t)).select("o_orderkey", "o_totalprice", "lado", "veces")
 
 
 @query("q23_check_ranges", b.sql("lines", """
