@@ -117,13 +117,15 @@ def _(t: Tables):
     return _load(t)["errores"]
 
 
-@query("q11_quality_summary", b.sql("stg_pedido stg_detalle", f"""
-    WITH {ACCEPTED}, {LINES}
+SUMMARY = """
     SELECT 'Pedido' AS tabla, 'R1 duplicados descartados' AS regla, count(*) - count(DISTINCT id_pedido) AS registros_afectados FROM stg_pedido
     UNION ALL SELECT 'Pedido', 'R2 id_cliente NULL -> 9999', CAST(sum(es_paso) AS BIGINT) FROM ped
     UNION ALL SELECT 'Pedido', 'R3 fecha inválida -> fecha de carga', CAST(sum(fecha_imputada) AS BIGINT) FROM ped
     UNION ALL SELECT 'Pedido', 'R4 monto <= 0 rechazado', count(*) FROM ped WHERE monto_total IS NULL OR monto_total <= 0
-    UNION ALL SELECT 'Detalle_Pedido', 'R6 huérfanos rechazados', count(*) FROM lin WHERE id_pedido NOT IN (SELECT id_pedido FROM ok)"""))
+    UNION ALL SELECT 'Detalle_Pedido', 'R6 huérfanos rechazados', count(*) FROM lin WHERE id_pedido NOT IN (SELECT id_pedido FROM ok)"""
+
+
+@query("q11_quality_summary", b.sql("stg_pedido stg_detalle", f"WITH {ACCEPTED}, {LINES} {SUMMARY}"))
 def _(t: Tables):
     return _load(t)["calidad"]
 

@@ -11,6 +11,7 @@ from ..session import stage, staging_dir
 from ..sources import feeds, schemas, writers
 from ..sources.tables import Tables
 from . import bindings as b
+from .quality import ERRORS, SUMMARY
 from .registry import query
 
 FACT_LIKE = {
@@ -211,20 +212,50 @@ def _(t: Tables):
     return feeds.read_staging(t.spark, path, ["id_pedido", "fecha_pedido", "hora_pedido", "monto_total"])
 
 
-@query("s15_write_clean", b.sql("stg_cliente empleados", """
-    SELECT 'Cliente' AS tabla, CAST(id_cliente AS STRING) AS id, CASE WHEN regexp_full_match(dni, '[0-9]{8}') THEN dni END AS documento, apellido
-    FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY copia) AS rn FROM stg_cliente) WHERE rn = 1
-    UNION ALL SELECT 'Empleado', CAST(id_empleado AS STRING), dni_empleado, apellido FROM empleados"""))
-def _(t: Tables):
-    path = staging_dir(t.spark, "clean")
-    clients = quality.null_invalid_id(quality.windows.dedupe_first(b.stg_cliente(t), ["id_cliente"], b.FIRST), "dni").drop("copia", "fila")
-    writers.write_clean({"Cliente": clients, "Empleado": b.empleados(t)}, path)
+# The eight outputs of a load and the columns they are compared by.
+CLEAN = {
+    "Cliente": "id_cliente dni nombre apellido email telefono distrito tipo_cliente fecha_registro",
+    "Empleado": "id_empleado dni_empleado apellido",
+    "Plato": "id_plato nombre_plato categoria precio_base costo_estimado",
+    "Pedido": "id_pedido fecha_pedido id_cliente id_empleado canal_interno metodo_pago monto_total fecha_imputada",
+    "Detalle_Pedido": "id_detalle id_pedido id_plato cantidad precio_unitario subtotal",
+    "Asistencia": " ".join(ATTENDANCE),
+    "Log_Errores": "tabla id_registro motivo valor",
+    "Log_Carga_Calidad": "tabla regla registros_afectados",
+}
+_CLEAN_FROM = {
+    "Cliente": """(SELECT * REPLACE (CASE WHEN regexp_full_match(dni, '[0-9]{8}') THEN dni END AS dni)
+      FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY copia) AS rn FROM stg_cliente) WHERE rn = 1)""",
+    "Empleado": "empleados", "Plato": "platos", "Pedido": "ok", "Detalle_Pedido": "(SELECT * FROM lin WHERE id_pedido IN (SELECT id_pedido FROM ok))",
+    "Asistencia": "(SELECT " + ", ".join(f"{e} AS {n}" for n, e in ATTENDANCE.items()) + " FROM lineitem)",
+    "Log_Errores": "(SELECT * REPLACE (CAST(valor AS DECIMAL(12,2)) AS valor) FROM err)", "Log_Carga_Calidad": f"({SUMMARY})",
+}
+
 
-    def back(name: str, key: str, document: str) -> DataFrame:
-        read = t.spark.read.option("header", True).option("escape", '"').csv(f"{path}/{name}")
-        return read.select(F.lit(name).alias("tabla"), F.col(key).alias("id"), F.col(document).alias("documento"), "apellido")
+def clean_tables(t: Tables) -> dict[str, DataFrame]:
+    """What a load leaves: cleaned clients, orders and lines, the master tables, the error and the quality log."""
+    clients = quality.null_invalid_id(quality.windows.dedupe_first(b.stg_cliente(t), ["id_cliente"], b.FIRST), "dni")
+    loaded = quality.load_orders(b.stg_pedido(t), b.stg_detalle(t), b.FIRST, b.LOAD_DATE)
+    tables = {
+        "Cliente": clients, "Empleado": b.empleados(t), "Plato": b.platos(t), "Pedido": loaded["pedidos"], "Detalle_Pedido": loaded["detalle"],
+        "Asistencia": t.lineitem.selectExpr(*[f"{e} AS {n}" for n, e in ATTENDANCE.items()]),
+        "Log_Errores": loaded["errores"].withColumn("valor", F.col("valor").cast("decimal(12,2)")), "Log_Carga_Calidad": loaded["calidad"]}
+    return {name: tables[name].select(*columns.split()) for name, columns in CLEAN.items()}
 
-    return back("Cliente", "id_cliente", "dni").unionByName(back("Empleado", "id_empleado", "dni_empleado"))
+
+def _clean_sql(name: str, columns: str) -> str:
+    cells = ", ".join(f"coalesce(nullif(CAST({c} AS STRING), ''), chr(0))" for c in columns.split())
+    return f"SELECT '{name}' AS tabla, concat_ws('|', {cells}) AS fila FROM {_CLEAN_FROM[name]}"
+
+
+@query("s15_write_clean", b.sql("stg_cliente empleados platos stg_pedido stg_detalle", f"WITH {ERRORS} " + " UNION ALL ".join(
+    _clean_sql(name, columns) for name, columns in CLEAN.items())))
+def _(t: Tables):
+    path = staging_dir(t.spark, "clean")
+    writers.publish(clean_tables(t), path)
+    cells = lambda df: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in df.columns])
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("tabla"), cells(df).alias("fila")) for name, df in writers.published(t.spark, path).items()])
 
 
 @query("s16_step_log_sink", b.sql("feed clean_feed platos", """

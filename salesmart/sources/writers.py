@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+import json
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import stage
 
@@ -23,10 +27,44 @@ def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") ->
             writer.parquet(f"{path}/{name}")
 
 
-def write_clean(tables: dict[str, DataFrame], path: str) -> None:
-    """Cleaned OLTP tables, error log and quality log as CSV with header."""
+MANIFEST = "publicado"
+MOST_TABLES = 100  # tables of one run
+
+
+def publish(tables: dict[str, DataFrame], root: str) -> str:
+    """Publish several tables below ``root`` together, as CSV with header; the name of the run.
+
+    Each run writes folders of its own; its manifest, one row per table, is
+    written last and by one committed job.  Until then readers see the run
+    before, so a run that ends half-way is never seen, and may be repeated.
+    """
+    if not 0 < len(tables) <= MOST_TABLES:
+        raise ValueError(f"a run publishes 1 to {MOST_TABLES} tables")
+    spark = next(iter(tables.values())).sparkSession
+    run = uuid.uuid4().hex
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{name}")
+        df.write.option("header", True).option("escape", '"').csv(f"{root}/{run}/{name}")
+    rows = [(run, n, name, df.schema.json()) for n, (name, df) in enumerate(tables.items())]
+    manifest = spark.createDataFrame(rows, "corrida string, orden int, tabla string, esquema string")
+    manifest.coalesce(1).withColumn("momento", F.current_timestamp()).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    return run
+
+
+def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the latest published run, with the columns they were written with; empty before the first.
+
+    A reader keeps its run while later ones are published.  An empty text reads
+    as missing, as CSV has one form for both.
+    """
+    try:
+        rows = spark.read.parquet(f"{root}/{MANIFEST}").orderBy(F.desc("momento"), F.desc("corrida"), "orden").limit(MOST_TABLES).collect()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}
+    last = [row for row in rows if row.corrida == rows[0].corrida]
+    read = lambda row: spark.read.schema(T.StructType.fromJson(json.loads(row.esquema))).option("header", True).option("escape", '"')
+    return {row.tabla: read(row).csv(f"{root}/{row.corrida}/{row.tabla}") for row in last}
 
 
 def as_export_text(df: DataFrame) -> DataFrame:

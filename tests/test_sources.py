@@ -79,6 +79,28 @@ def test_step_log_as_csv_and_text(spark, tmp_path):
     assert tuple(back.first()) == ("T01", 'Quitar "dobles"', 5)
 
 
+def test_tables_are_published_together_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "out")
+    assert writers.published(spark, root) == {}
+    first = {"A": spark.range(3).selectExpr("id", "CAST(NULL AS string) AS t"), "B": spark.range(2).selectExpr("CAST(id AS decimal(12,2)) AS d")}
+    writers.publish(first, root)
+    seen = writers.published(spark, root)
+    assert list(seen) == ["A", "B"] and [tuple(r) for r in seen["B"].orderBy("d").collect()] == [(Decimal("0.00"),), (Decimal("1.00"),)]
+    assert seen["A"].schema == first["A"].schema or [f.dataType for f in seen["A"].schema] == [f.dataType for f in first["A"].schema]
+
+    # The second run fails on its second table: readers go on seeing the first.
+    broken = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("d"))
+    with pytest.raises(Exception, match="lost"):
+        writers.publish({"A": spark.range(9).selectExpr("id", "'x' AS t"), "B": broken}, root)
+    assert writers.published(spark, root)["A"].count() == 3
+
+    writers.publish({"A": spark.range(7).selectExpr("id", "'x' AS t"), "B": spark.range(1).selectExpr("id AS d")}, root)
+    assert writers.published(spark, root)["A"].count() == 7 and writers.published(spark, root)["B"].count() == 1
+    assert seen["A"].count() == 3  # a reader keeps its run
+    with pytest.raises(ValueError):
+        writers.publish({}, root)
+
+
 def test_step_log_counts_while_the_run_reads(spark):
     source = spark.range(100).selectExpr("id", "id % 7 AS k")
     log = quality.StepLog()
