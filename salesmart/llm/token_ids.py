@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -24,7 +25,6 @@ from .simple8b import MAGIC, file_bytes, read_file
 CACHE_BYTES = 64 << 20  # what a worker may spend on remembering the ids of pieces
 FILE_IDS = 4_000_000  # a file is closed after the document that passes this many ids
 _SLICE = 4 << 20  # bytes of text that are encoded together
-_ENTRY = 200  # bytes of memory of a remembered piece beside its letters and ids
 _END = "\n"  # stands behind each file's last byte
 _ODD_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: how byte-level vocabularies cut a text into words.
@@ -73,9 +73,8 @@ class Encoder:
         self.by_piece = (made.get("normalizer") is None and made.get("post_processor") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
         self.model = self.library.model
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.spent = 0
+        self.pieces = pa.array([], pa.large_binary())
+        self.flat, self.size = np.empty(0, "<u4"), np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -92,32 +91,39 @@ class Encoder:
             if core.isalpha():
                 return self._word(piece)
             if core[-1] in _POINTS and core[:-1].isalpha():
-                return (self.young.get(piece[:-1]) or self._word(piece[:-1])) + self._word(piece[-1:])
+                return self._word(piece[:-1]) + self._word(piece[-1:])
             if core.strip() == core and len(core.split()) == 1:
                 return b"".join([self._word(w.encode()) for w in _WORDS.findall(text)])
         if text != "\n" and (not core or core != core.strip()):
             return b""
         return self.whole([text])[0]
 
-    def _ids(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece.  Pieces not asked for while half the memory filled are forgotten."""
-        found = list(map(self.young.get, pieces))
-        tokenize = self.model.tokenize
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            piece = pieces[k]
-            ids = self.old.get(piece)
-            if ids is None:
-                core = piece[1:] if piece[:1] == b" " else piece
-                if core.isalpha():  # for bytes, ASCII letters: nearly half of all
-                    word = core.decode()
-                    ids = _four_bytes([t.id for t in tokenize(word if core is piece else _LETTERS[32] + word)])
-                else:
-                    ids = self._piece(piece)
-            found[k] = self.young[piece] = ids
-            self.spent += len(piece) + len(ids) + _ENTRY
-            if self.spent > CACHE_BYTES // 2:
-                self.old, self.young, self.spent = self.young, {}, 0
-        return found
+    def _learned(self, piece: bytes) -> bytes:
+        core = piece[1:] if piece[:1] == b" " else piece
+        if core.isalpha():  # for bytes, ASCII letters: nearly half of all
+            word = core.decode()
+            return _four_bytes([t.id for t in self.model.tokenize(word if core is piece else _LETTERS[32] + word)])
+        return self._piece(piece)
+
+    def _ids(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the remembered pieces in a row, where each piece's begin, and how many it has.
+
+        Pieces are remembered in two Arrow arrays, some 40 bytes each; when they
+        fill ``CACHE_BYTES``, the half learned first is forgotten.
+        """
+        if len(self.pieces) and self.pieces.nbytes + self.flat.nbytes + self.size.nbytes > CACHE_BYTES:
+            half = len(self.pieces) // 2
+            self.pieces = pa.concat_arrays([self.pieces[half:]])
+            self.flat, self.size = self.flat[int(self.size[:half].sum()):].copy(), self.size[half:].copy()
+        at = pc.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = pieces.take(pa.array(new))
+            flat, size = _joined([self._learned(p) for p in unknown.to_pylist()])
+            at[new] = len(self.pieces) + np.arange(len(new))
+            self.pieces = pa.concat_arrays([self.pieces, unknown])
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+        return self.flat, (np.cumsum(self.size) - self.size)[at], self.size[at]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has; a null text has none."""
@@ -135,10 +141,10 @@ class Encoder:
         bounds = np.append(starts, len(data))
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False)
-        flat, size = _joined(self._ids(coded.dictionary.to_pylist()))
+        flat, begin, size = self._ids(coded.dictionary)
         n = size[at]
         ends = np.cumsum(n)
-        ids = flat[np.repeat((np.cumsum(size) - size)[at] - (ends - n), n) + np.arange(ends[-1])]
+        ids = flat[np.repeat(begin[at] - (ends - n), n) + np.arange(ends[-1])]
         lengths = np.add.reduceat(n, first)
         odd = np.flatnonzero(np.logical_or.reduceat(n == 0, first) & (offsets[:-1] < offsets[1:]))
         if not len(odd):
