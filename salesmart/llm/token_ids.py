@@ -22,7 +22,7 @@ from .blobs import read_blobs, write_blobs
 from .bytescan import buffers, parts
 from .simple8b import MAGIC, file_bytes, read_file
 
-CACHE_BYTES = 64 << 20  # what a worker may spend on remembering the ids of pieces
+CACHE_BYTES = 48 << 20  # what a worker may spend on remembering the ids of pieces
 FILE_IDS = 4_000_000  # a file is closed after the document that passes this many ids
 _SLICE = 4 << 20  # bytes of text that are encoded together
 _END = "\n"  # stands behind each file's last byte
@@ -211,6 +211,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
                         yield closed()
         if names:
             yield closed()
+        pa.default_memory_pool().release_unused()  # the worker lives on, its scratch memory need not
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     placed = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
