@@ -64,12 +64,16 @@ def stretches(batch: pa.RecordBatch, column: str, admits: np.ndarray, overlap: i
         if hi > lo + 1 or b - a <= most:
             yield data[a:b], offsets[lo: hi + 1] - a, np.arange(lo, hi), np.zeros(hi - lo, np.int64)
         else:
-            for piece, seen in _cut(data[a:b], admits, overlap, most):
+            for piece, seen in cut(data[a:b], admits, overlap, most):
                 yield piece, np.array([0, len(piece)]), np.array([lo]), np.array([seen])
         lo = hi
 
 
-def _cut(data: np.ndarray, admits: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+def cut(data: np.ndarray, admits: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+    """One text in pieces of about ``most`` bytes that end behind a word, and how many words of each were in the last one.
+
+    A piece starts with the ``overlap`` words before it, or with all of them if there are fewer.
+    """
     lo, hi, seen = 0, 0, 0
     while True:
         hi = max(lo, hi) + most
@@ -80,15 +84,23 @@ def _cut(data: np.ndarray, admits: np.ndarray, overlap: int, most: int) -> Itera
         yield data[lo:hi], seen
         if hi == len(data):
             return
-        back = 4096
-        while True:  # the start of the last words
-            tail = max(lo, hi - back)
-            starts, _, _ = spans(data[tail:hi], np.array([0, hi - tail]), admits)
-            if len(starts) > overlap or tail == lo:
-                break
-            back *= 4
-        seen = min(overlap, len(starts))
-        lo = tail + int(starts[-seen]) if seen else hi
+        starts = _last_starts(data, lo, hi, admits, overlap)
+        seen = len(starts)
+        lo = starts[0] if seen else hi
+
+
+def _last_starts(data: np.ndarray, lo: int, hi: int, admits: np.ndarray, n: int) -> list[int]:
+    """Where the last ``n`` words of ``data[lo:hi]`` start, or all if there are fewer, looked for from the end in blocks."""
+    found: list[int] = []
+    size = 4096
+    while hi > lo and len(found) < n:
+        at = max(lo, hi - size)
+        first = admits[data[at:hi]]
+        first[1:] &= ~first[:-1]
+        first[0] &= at == lo or not admits[data[at - 1]]
+        found = (np.flatnonzero(first) + at).tolist() + found
+        hi, size = at, min(4 * size, _CHUNK)
+    return found[-n:] if n else []
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, admits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -17,11 +17,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
+from .bytescan import INK, cut
 from .text import packed, unpacked
 
 PIVOTS = 8
 BYTES = 8
 _BLOCK = 1 << 16  # shingles whose bits are unpacked at once
+_PIECE = 1 << 20  # bytes of a text whose words are held at once
 
 
 def pivots(n: int = PIVOTS, seed: int = 7) -> list[int]:
@@ -29,27 +31,55 @@ def pivots(n: int = PIVOTS, seed: int = 7) -> list[int]:
     return [int(v) for v in np.random.default_rng(seed).integers(0, 2**64, n, dtype=np.uint64)]
 
 
-def fingerprint(text: bytes | None, width: int = 3) -> int:
-    """SimHash of a text over XXH64 (seed 42) of its word shingles, as an unsigned integer.
-
-    Words are runs without ASCII white space, A-Z in lower case.  Fewer words
-    than ``width`` are one shingle; none give zero.
-    """
-    words = (text or b"").lower().split()  # for bytes both touch ASCII only
-    if not words:
-        return 0
-    width = min(width, len(words))
+def _spans_hashed(words: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of every ``width`` consecutive words, some at a time."""
+    if sum(map(len, words)) > 4 * _PIECE:  # words too long to be joined
+        for k in range(len(words) - width + 1):
+            h = xxhash.xxh64(words[k], seed=42)
+            for w in words[k + 1: k + width]:
+                h.update(b" ")
+                h.update(w)
+            yield np.array([h.intdigest()], "<u8")
+        return
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     start = np.cumsum(size + 1) - size - 1
     end = (start + size)[width - 1:].tolist()
     start = start[: len(words) - width + 1].tolist()
-    ones = np.zeros(64, np.int64)
     for at in range(0, len(start), _BLOCK):
         spans = map(slice, start[at: at + _BLOCK], end[at: at + _BLOCK])
-        h = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), repeat(42)), "<u8", min(_BLOCK, len(start) - at))
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(start), bitorder="little").view("<u8")[0])
+        yield np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), repeat(42)), "<u8", min(_BLOCK, len(start) - at))
+
+
+def _words(text: bytes | pa.Buffer, width: int) -> Iterator[list[bytes]]:
+    """The words of a text, a long one in pieces that begin with the last ``width - 1`` words of the one before."""
+    if len(text) <= _PIECE:
+        yield bytes(text).lower().split()  # for bytes both touch ASCII only
+        return
+    for piece, _ in cut(np.frombuffer(text, np.uint8), INK, width - 1, _PIECE):
+        yield piece.tobytes().lower().split()
+
+
+def fingerprint(text: bytes | pa.Buffer | None, width: int = 3) -> int:
+    """SimHash of a text over XXH64 (seed 42) of its word shingles, as an unsigned integer.
+
+    Words are runs without ASCII white space, A-Z in lower case.  Fewer words
+    than ``width`` are one shingle; none give zero.  The words of a megabyte are
+    held at a time, however long the text.
+    """
+    ones, n, words = np.zeros(64, np.int64), 0, []
+    for words in _words(text or b"", width):
+        if len(words) < width:
+            continue
+        for h in _spans_hashed(words, width):
+            ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            n += len(h)
+        words = []  # not held while the next piece is cut
+    if not n:  # fewer than width words: the last piece has them all
+        if not words:
+            return 0
+        return xxhash.xxh64_intdigest(b" ".join(words), 42)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
@@ -57,7 +87,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            fps = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.uint64, len(texts)).view(np.int64)
+            fps = np.fromiter((fingerprint(t.as_buffer(), width) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("of"), pa.array(fps)], names=["id", "of", "fp"])
 
     body = F.col(f"`{text}`")
