@@ -17,28 +17,41 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .bytescan import buffers
+from .bytescan import buffers, parts
 
 OPEN, MID, CLOSE = b"<turn:", b">\n", b"</turn>\n"
 _ESCAPED = np.array([b in b"\\<>" for b in range(256)])
-_PART = 4096  # rows that are assembled in one buffer
+_PART = 1 << 20  # bytes of text that are assembled in one buffer (a longer text alone)
+_BLOCK = 1 << 18  # bytes whose places are computed at once
 
 
 def _escape(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes with a backslash before every control byte, and the new offsets."""
-    control = _ESCAPED[data]
-    shift = np.concatenate([[0], np.cumsum(control)])
-    out = np.empty(len(data) + int(shift[-1]), np.uint8)
-    place = np.arange(len(data)) + shift[1:]
-    out[place] = data
-    out[place[control] - 1] = 92
-    return out, offsets + shift[offsets]
+    extra = sum(int(np.count_nonzero(_ESCAPED[data[lo: lo + _BLOCK]])) for lo in range(0, len(data), _BLOCK))
+    out = np.empty(len(data) + extra, np.uint8)
+    moved = np.zeros(len(offsets), np.int64)
+    base = 0
+    for lo in range(0, len(data), _BLOCK):
+        block = data[lo: lo + _BLOCK]
+        control = _ESCAPED[block]
+        shift = np.cumsum(control)
+        place = base + np.arange(len(block)) + shift
+        out[place] = block
+        out[place[control] - 1] = 92
+        here = slice(*np.searchsorted(offsets, [lo, lo + len(block)], "right"))
+        moved[here] = place[offsets[here] - lo - 1] + 1
+        base += len(block) + int(shift[-1])
+    return out, moved
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
     """Copies piece i of ``data`` to ``out`` at ``at[i]``."""
-    size = np.diff(offsets)
-    out[np.repeat(at - offsets[:-1], size) + np.arange(offsets[-1])] = data
+    shift = at - offsets[:-1]
+    for lo in range(0, len(data), _BLOCK):
+        hi = min(lo + _BLOCK, len(data))
+        first, last = int(np.searchsorted(offsets, lo, "right")) - 1, int(np.searchsorted(offsets, hi, "left"))
+        size = np.diff(np.clip(offsets[first: last + 1], lo, hi))
+        out[np.repeat(shift[first:last], size) + np.arange(lo, hi)] = data[lo:hi]
 
 
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -82,8 +95,7 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nth = TaskContext.get().partitionId() << 33  # turns with one number may lie in two tasks
         for batch in batches:
-            for lo in range(0, batch.num_rows, _PART):
-                part = batch.slice(lo, _PART)
+            for part in parts(batch, "text", _PART):
                 made, start, end = assemble(part.column("role"), part.column("text"))
                 mine = np.array([r == learned for r in part.column("role").to_pylist()], bool)
                 yield pa.RecordBatch.from_arrays(
@@ -99,32 +111,53 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, kind)
 
 
-def unescaped(data: bytes) -> bytes:
-    """What ``_escape`` was given."""
-    if b"\\" not in data:
-        return data
+def _unescaped(data: bytes | memoryview) -> Iterator[bytes]:
+    """What ``_escape`` was given, in blocks."""
     body = np.frombuffer(data, np.uint8)
-    slash = np.flatnonzero(body == 92)
-    # In a run of backslashes every second one stands for itself.
-    first = np.concatenate([[True], np.diff(slash) != 1])
-    begin = slash[np.flatnonzero(first)][np.cumsum(first) - 1]
-    keep = np.ones(len(body), bool)
-    keep[slash[(slash - begin) % 2 == 0]] = False
-    return body[keep].tobytes()
+    lo = 0
+    while lo < len(body):
+        block = body[lo: lo + _BLOCK]
+        run = len(block) - 1 - int(np.flatnonzero(block != 92)[-1]) if (block != 92).any() else len(block)
+        if run % 2:  # the last backslash belongs to the byte behind it
+            block = body[lo: lo + len(block) + 1]
+        lo += len(block)
+        slash = np.flatnonzero(block == 92)
+        if len(slash):
+            # In a run of backslashes every second one stands for itself.
+            first = np.concatenate([[True], np.diff(slash) != 1])
+            begin = slash[np.flatnonzero(first)][np.cumsum(first) - 1]
+            keep = np.ones(len(block), bool)
+            keep[slash[(slash - begin) % 2 == 0]] = False
+            block = block[keep]
+        yield block.tobytes()
+
+
+def unescaped(data: bytes | memoryview) -> bytes:
+    """What ``_escape`` was given."""
+    return b"".join(_unescaped(data))
 
 
-def parse_turn(data: bytes) -> tuple[bytes, bytes]:
-    """Role and text of a formatted turn."""
+def _text_at(data: bytes) -> int:
+    """Where the text of a formatted turn starts."""
     if not data.startswith(OPEN) or not data.endswith(CLOSE):
         raise ValueError("not a whole turn")
     at = data.find(MID, len(OPEN))
     while (at - len(data[:at].rstrip(b"\\"))) % 2:  # an escaped mark belongs to the role
         at = data.find(MID, at + 1)
-    return unescaped(data[len(OPEN): at]), unescaped(data[at + len(MID): -len(CLOSE)])
+    return at + len(MID)
+
 
+def parse_turn(data: bytes) -> tuple[bytes, bytes]:
+    """Role and text of a formatted turn."""
+    at = _text_at(data)
+    view = memoryview(data)
+    return unescaped(view[len(OPEN): at - len(MID)]), unescaped(view[at: -len(CLOSE)])
 
-def _chars(data: bytes) -> int:
-    return len(data.decode())
+
+def _chars(data: bytes | memoryview) -> int:
+    """Code points: every byte of UTF-8 but those that continue one."""
+    body = np.frombuffer(data, np.uint8)
+    return sum(int(np.count_nonzero(body[lo: lo + _BLOCK] & 0xC0 != 0x80)) for lo in range(0, len(body), _BLOCK))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -145,21 +178,24 @@ def digests(formatted: DataFrame) -> DataFrame:
         def done(conv, s) -> list:
             return [conv, s[0], s[1].hexdigest(), s[2], s[3].hexdigest(), s[4]]
 
-        for batch in batches:
+        for part in (p for batch in batches for p in parts(batch, "formatted", _PART)):
             rows = []
-            columns = [batch.column(c) for c in ("conv", "formatted", "loss_start", "loss_end")]
+            columns = [part.column(c) for c in ("conv", "formatted", "loss_start", "loss_end")]
             for conv, data, start, end in zip(*(c.to_pylist() for c in columns)):
                 if state is None or conv != current:
                     if state is not None:
                         rows.append(done(current, state))
                     current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text = parse_turn(data)
-                learned = unescaped(data[start:end])
+                view, at = memoryview(data), _text_at(data)
                 state[0] += 1
-                state[1].update(role + b"\n" + text + b"\n")
-                state[2] += _chars(learned)
-                state[3].update(learned)
-                state[4] += _chars(data)
+                state[1].update(unescaped(view[len(OPEN): at - len(MID)]) + b"\n")
+                for piece in _unescaped(view[at: -len(CLOSE)]):
+                    state[1].update(piece)
+                state[1].update(b"\n")
+                for piece in _unescaped(view[start:end]):
+                    state[2] += _chars(piece)
+                    state[3].update(piece)
+                state[4] += _chars(view)
             if rows:
                 yield pa.RecordBatch.from_pydict(dict(zip(fields, map(list, zip(*rows)))))
         if state is not None:

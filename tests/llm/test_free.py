@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -96,6 +97,29 @@ def test_a_long_text_in_parts_has_the_same_fingerprint(monkeypatch):
     whole = simhash.fingerprint(text.encode())
     monkeypatch.setattr(simhash, "_BLOCK", 100)
     assert simhash.fingerprint(text.encode()) == whole == _fingerprint(text)
+    r = random.Random(3)
+    texts = ["".join(r.choice(["a", "B", "longer", " ", "\n", "\t ", "é", "w" * 90]) for _ in range(r.randint(0, 60))) for _ in range(300)]
+    monkeypatch.setattr(simhash, "_PIECE", 7)  # joins up to 28 bytes
+    for t in [*texts, " " * 50, "x" * 50, text[:2000]]:
+        assert simhash.fingerprint(t.encode()) == _fingerprint(t)
+        assert simhash.fingerprint(t.encode(), 1) == simhash.fingerprint(pa.py_buffer(t.encode()), 1)
+
+
+def _peak(f, *args) -> int:
+    tracemalloc.start()
+    try:
+        f(*args)
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_long_text_is_bounded():
+    text = (prose(3000, 9) + " ").encode() * 500
+    assert len(text) > 8 << 20
+    assert _peak(simhash.fingerprint, text) < 96 << 20
+    word = b"x" * (24 << 20)
+    assert _peak(simhash.fingerprint, b"a b " + word + b" c d") < 3.2 * len(word)
 
 
 # decontamination ------------------------------------------------------------------
@@ -339,6 +363,26 @@ def test_marks_and_escapes_round_trip():
             assert b"</turn>" not in data[start[i]: end[i]]
 
 
+def test_blocks_do_not_change_turns(monkeypatch):
+    r = random.Random(4)
+    texts = ["".join(r.choice("\\\\\\<>\né日a") for _ in range(r.randint(0, 40))) for _ in range(400)]
+    whole = chat_format.assemble(pa.array(["r<"] * 400), pa.array(texts))
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(chat_format, "_BLOCK", size)
+        made, start, end = chat_format.assemble(pa.array(["r<"] * 400), pa.array(texts))
+        assert made == whole[0] and (start == whole[1]).all() and (end == whole[2]).all()
+        for data, t in zip(made.to_pylist(), texts):
+            assert chat_format.parse_turn(data) == (b"r<", t.encode()) and chat_format._chars(data) == len(data.decode())
+
+
+def test_memory_of_a_long_turn_is_bounded():
+    text = "a line <of> text\n" * (1 << 20)
+    roles, texts = pa.array(["assistant"]), pa.array([text])
+    assert _peak(chat_format.assemble, roles, texts) < 2.5 * 18 * (1 << 20) + (32 << 20)
+    data = chat_format.assemble(roles, texts)[0][0].as_py()
+    assert _peak(lambda: sum(map(len, chat_format._unescaped(memoryview(data))))) < 16 << 20
+
+
 def test_chat_of_hard_rows(spark):
     import hashlib
 
