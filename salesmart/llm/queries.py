@@ -62,9 +62,9 @@ URL_RULES = [Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("b
 
 
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Outcomes of pages are the quality labels of the same number.
+    # A page's outcome is the quality label of the document whose number stands in its url.
     outcomes = _table(spark, sf_dir, "labels", "doc_id", "quality").select(F.col("doc_id").alias("page"), F.col("quality").alias("good"))
-    judged = judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), outcomes, URL_RULES)
+    judged = judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), outcomes, URL_RULES, by_path=True)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -178,10 +178,10 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'r
     "op5_url_reputation": r"""
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-l AS (SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+l AS (SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 q AS (SELECT host, l.good, CASE WHEN regexp_matches(host, '(^|\.)(ac|co|com|edu|gov|net|org)\.[a-z][a-z]$')
   THEN regexp_extract(host, '(?:^|\.)((?:ac|co|com|edu|gov|net|org)\.[a-z][a-z])$', 1) ELSE regexp_extract(host, '([^.]*)$', 1) END AS suffix
-  FROM p LEFT JOIN l ON l.page_id = p.page_id),
+  FROM p LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(p.path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)),
 d AS (SELECT *, left(host, greatest(length(host) - length(suffix) - 1, 0)) AS rest FROM q),
 h AS (SELECT host, suffix, CASE WHEN rest <> '' THEN regexp_extract(rest, '([^.]*)$', 1) || '.' || suffix ELSE host END AS domain,
   count(good) AS n, coalesce(sum(good), 0) AS g FROM d GROUP BY ALL),

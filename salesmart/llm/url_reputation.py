@@ -55,6 +55,11 @@ def domain_of(host: Column, suffix: Column) -> Column:
     return F.when(F.char_length(before) > 0, F.concat(F.regexp_extract(before, r"([^.]*)$", 1), F.lit("."), suffix)).otherwise(host)
 
 
+def number_in(path: Column) -> Column:
+    """The number behind the language in paths like ``/en/7817``; null if there is none, or none that fits a long."""
+    return F.regexp_extract(path, "^/[a-z]+/([0-9]+)", 1).try_cast("long")
+
+
 def rule_for(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
     """Name and verdict of the longest rule that fits; null if none does."""
     if len(rules) > MAX_RULES:
@@ -85,7 +90,7 @@ def _strength(groups: DataFrame, least: float = 2.0, most: float = 1000.0) -> fl
 def host_reputation(pages: DataFrame, outcomes: DataFrame, threshold: float, z: float) -> DataFrame:
     """``host, n, g, mean, upper, verdict`` for every host of ``pages`` (page, host, suffix, domain).
 
-    ``outcomes`` has ``page, good`` (0 or 1).
+    ``outcomes`` has ``page, good`` (0 or 1); a null ``page`` has no outcome.
     """
     scored = pages.join(outcomes, "page", "left")
     hosts = stage(scored.groupBy("host", "domain", "suffix").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")), "hosts")
@@ -105,10 +110,11 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, threshold: float, z:
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url",
-               threshold: float = 0.6, z: float = 1.645) -> DataFrame:
+               threshold: float = 0.6, z: float = 1.645, by_path: bool = False) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict``.
 
-    ``outcomes`` has ``page, good``; an id with several outcomes counts once, as
+    ``outcomes`` has ``page, good``, where ``page`` is the page's id or, with
+    ``by_path``, the number in its path (pages without one have no outcome); an id with several outcomes counts once, as
     bad if one of them is, and null ids or outcomes not at all.  The longest rule
     that fits decides, else the reputation of the host.  A null URL, or one
     without ``://``, has the empty host, which is judged like any other.  Repeated
@@ -122,7 +128,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], page_id
     names = pages.columns
     rows = packed(pages, page=F.col(f"`{page_id}`").cast("long"), host=host_of(F.col(f"`{url}`")), path=path_of(F.col(f"`{url}`")))
     known = outcomes.where("page IS NOT NULL AND good IS NOT NULL").groupBy("page").agg(F.min("good").cast("long").alias("good"))
-    placed = rows.select("page", "host").withColumn("suffix", suffix_of(F.col("host")))
+    placed = rows.select((number_in(F.col("path")) if by_path else F.col("page")).alias("page"), "host").withColumn("suffix", suffix_of(F.col("host")))
     placed = placed.withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
     judged = stage(host_reputation(placed, known, threshold, z).select("host", F.col("verdict").alias("by_host")), "host-verdicts")
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)

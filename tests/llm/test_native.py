@@ -138,3 +138,13 @@ def test_bad_hosts_are_blocked_and_new_hosts_follow_their_domain(spark):
     got = judge_urls(spark.createDataFrame(pages, PAGES), spark.createDataFrame(outcomes, "page long, good int"), []).collect()
     assert len(got) == 903
     assert all(r.verdict == ("block" if "farm" in r.host else "allow") for r in got)
+
+
+def test_outcomes_by_the_number_in_the_path(spark):
+    pages = [(i, f"http://{'bad' if i % 2 else 'good'}.com/en/{i + 1000}" + ["", "?q=1", "#top", ".html", "/"][i % 5], "h", "p", "v") for i in range(400)]
+    pages += [(1000, "http://bad.com/en/99999999999999999999", "", "", ""), (1001, "http://bad.com/1001", "", "", ""), (1002, None, "", "", "")]
+    outcomes = [(i + 1000, 1 - i % 2) for i in range(400)] + [(i, i % 2) for i in range(400)]  # by page id it is the other way round
+    table = spark.createDataFrame(pages, PAGES), spark.createDataFrame(outcomes, "page long, good int")
+    got = judge_urls(*table, [], by_path=True).collect()
+    assert len(got) == 403 and all(r.verdict == ("block" if r.host == "bad.com" else "allow") for r in got)
+    assert all(r.verdict == ("block" if r.host == "good.com" else "allow") for r in judge_urls(*table, []).collect() if r.page_id < 1000)
