@@ -22,6 +22,7 @@ WALK_IN = 9999
 # Messages of the load rules and checks.
 BAD_AMOUNT = "monto_total <= 0 o no numérico: pedido rechazado"
 ORPHAN_LINE = "detalle huérfano: pedido padre rechazado"
+BROKEN_LINE = "línea con campos de menos o de más: no se carga"
 BLOCKED_LINES = "Intento bloqueado: subtotal no coincide con cantidad x precio"
 
 
@@ -79,6 +80,28 @@ def error_log(*rejects: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rejects)
 
 
+def broken_rows(df: DataFrame, table: str, key: str, broken: str) -> DataFrame:
+    """Error rows of the broken lines of a staging read, with their text; an unreadable key is NULL."""
+    return df.select(
+        F.lit(table).alias("tabla"), F.col(key).try_cast("bigint").alias("id_registro"),
+        F.lit(BROKEN_LINE).alias("motivo"), F.lit(None).cast("double").alias("valor"), F.col(broken).alias("texto"))
+
+
+def error_log_with_text(log: DataFrame, *broken: DataFrame) -> DataFrame:
+    """The error log and the broken lines; ``texto`` is NULL where a rule refused a whole line."""
+    return reduce(DataFrame.unionByName, broken, log.withColumn("texto", F.lit(None).cast("string")))
+
+
+def line_account(text_lines: DataFrame, staging: DataFrame, broken: str) -> DataFrame:
+    """(leidas, enteras, rotas, vacias, cuadra): every line of the files is whole, broken or empty."""
+    blank = F.length(F.trim("value")) == 0
+    read = text_lines.agg(F.count(F.lit(1)).alias("leidas"), F.lit(0).alias("enteras"), F.lit(0).alias("rotas"), F.count_if(blank).alias("vacias"))
+    parsed = staging.agg(F.lit(0).alias("leidas"), F.count_if(F.col(broken).isNull()).alias("enteras"),
+                         F.count_if(F.col(broken).isNotNull()).alias("rotas"), F.lit(0).alias("vacias"))
+    sums = read.unionByName(parsed).agg(*[F.sum(c).alias(c) for c in read.columns])
+    return sums.withColumn("cuadra", F.col("leidas") == F.col("enteras") + F.col("rotas") + F.col("vacias"))
+
+
 def quality_summary(stages: Sequence[tuple[str, Mapping[str, Column], DataFrame]]) -> DataFrame:
     """(tabla, regla, registros_afectados): one pass per table for all its rules."""
     parts = []

@@ -73,6 +73,52 @@ def _(t: Tables):
     return staged.withColumn("id_cliente", F.nullif("id_cliente", F.lit("")))
 
 
+# Of every fifty staged lines one lacks its last field and one has a field too many.
+SHORT, LONG, BROKEN = 7, 31, "_linea_rota"
+DETAIL = [name for name, _ in schemas.fields(schemas.STAGING["stg_detalle"])]
+BROKEN_SQL = f"""
+    SELECT 'Detalle_Pedido' AS tabla, CAST(id_detalle AS BIGINT) AS id_registro, '{quality.BROKEN_LINE}' AS motivo, CAST(NULL AS DOUBLE) AS valor,
+      concat_ws(',', {", ".join(DETAIL[:-1])}) || CASE CAST(id_detalle AS BIGINT) % 50 WHEN {LONG} THEN ',' || subtotal || ',de más' ELSE '' END AS texto
+    FROM stg_detalle WHERE CAST(id_detalle AS BIGINT) % 50 IN ({SHORT}, {LONG})"""
+
+
+def _ragged_file(t: Tables) -> str:
+    """The staged order lines as a text file without a header, some of them broken."""
+    nth = F.col("id_detalle").cast("bigint") % 50
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in DETAIL]
+    line = F.when(nth == SHORT, F.concat_ws(",", *fields[:-1])).when(nth == LONG, F.concat_ws(",", *fields, F.lit("de más")))
+    path = staging_dir(t.spark, "stg_detalle_ragged")
+    b.stg_detalle(t).select(line.otherwise(F.concat_ws(",", *fields)).alias("value")).write.text(path)
+    return path
+
+
+def _ragged(t: Tables, path: str) -> DataFrame:
+    return feeds.read_staging(t.spark, path, DETAIL, header=False, broken=BROKEN)
+
+
+@query("s04_broken_rows", b.sql("stg_detalle", BROKEN_SQL))
+def _(t: Tables):
+    broken = feeds.split_broken(_ragged(t, _ragged_file(t)), BROKEN)[1]
+    return quality.broken_rows(broken, "Detalle_Pedido", "id_detalle", BROKEN)
+
+
+@query("s04_line_account", b.sql("stg_detalle", f"""
+    SELECT count(*) AS leidas, count(*) FILTER (WHERE CAST(id_detalle AS BIGINT) % 50 NOT IN ({SHORT}, {LONG})) AS enteras,
+      count(*) FILTER (WHERE CAST(id_detalle AS BIGINT) % 50 IN ({SHORT}, {LONG})) AS rotas, CAST(0 AS BIGINT) AS vacias, TRUE AS cuadra FROM stg_detalle"""))
+def _(t: Tables):
+    path = _ragged_file(t)
+    return quality.line_account(t.spark.read.text(path), _ragged(t, path), BROKEN)
+
+
+@query("q10_error_log_with_text", b.sql("stg_pedido stg_detalle", f"""
+    WITH {ERRORS} SELECT *, CAST(NULL AS VARCHAR) AS texto FROM err WHERE tabla <> 'Detalle_Pedido' OR id_registro % 50 NOT IN ({SHORT}, {LONG})
+    UNION ALL {BROKEN_SQL}"""))
+def _(t: Tables):
+    whole, broken = feeds.split_broken(_ragged(t, _ragged_file(t)), BROKEN)
+    log = quality.load_orders(b.stg_pedido(t), whole, b.FIRST, b.LOAD_DATE)["errores"]
+    return quality.error_log_with_text(log, quality.broken_rows(broken, "Detalle_Pedido", "id_detalle", BROKEN))
+
+
 @query("s05_load_master", """
     SELECT s_suppkey AS id_empleado, right('00000000' || (s_suppkey * 7919), 8) AS dni_empleado,
       CASE WHEN s_suppkey % 9 = 4 THEN NULL ELSE s_acctbal END AS salario_mensual FROM supplier""")

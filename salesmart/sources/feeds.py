@@ -21,18 +21,39 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def read_staging(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Every column as text; short or long lines do not stop the load."""
-    return (
-        spark.read.schema(schemas.all_strings(*columns))
-        .option("header", True)
+def read_staging(spark: SparkSession, path: str, columns: list[str], header: bool = True, broken: str | None = None) -> DataFrame:
+    """Every column as text; short or long lines do not stop the load.
+
+    With ``broken``, a column of that name holds the text of each line that has
+    too few or too many fields, and NULL for whole lines.  Every field of a line
+    is then parsed, whatever columns are asked for, as a pruned read would not
+    see that fields are missing.  Empty lines are skipped by the reader.
+    """
+    schema = schemas.all_strings(*columns)
+    reader = (
+        spark.read.option("header", header)
         .option("sep", ",")
         .option("lineSep", "\n")
         .option("encoding", "UTF-8")
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+    )
+    if broken is None:
+        return reader.schema(schema).csv(path)
+    checked = (
+        reader.schema(f"{schema}, {schemas.all_strings(broken)}")
+        .option("columnNameOfCorruptRecord", broken)
+        .option("columnPruning", False)
         .csv(path)
     )
+    # Always true, but names a field: the reader refuses queries of the broken text alone, counts among them.
+    read = F.length(F.concat_ws("", columns[0])) >= 0
+    return checked.withColumn(broken, F.when(read, F.col(broken)))
+
+
+def split_broken(staging: DataFrame, broken: str) -> tuple[DataFrame, DataFrame]:
+    """(whole lines without the column, broken lines with it) of a checked staging read."""
+    return staging.filter(F.col(broken).isNull()).drop(broken), staging.filter(F.col(broken).isNotNull())
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:

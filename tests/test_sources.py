@@ -25,6 +25,24 @@ def test_staging_keeps_dirt_as_text(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("1", "Ayer"), ("2", None), ("3", "05/01/2026")]
 
 
+def test_broken_lines_are_logged_with_their_text(spark, tmp_path):
+    (tmp_path / "p.csv").write_text('id,fecha,nota\n1,Ayer,\n2\n\n3,05/01/2026,"a, b"\n4,x,y,extra\nX,y\n', encoding="utf-8")
+    staged = feeds.read_staging(spark, str(tmp_path), ["id", "fecha", "nota"], broken="rota")
+    whole, broken = feeds.split_broken(staged, "rota")
+    assert whole.columns == ["id", "fecha", "nota"]
+    assert sorted(map(tuple, whole.collect())) == [("1", "Ayer", None), ("3", "05/01/2026", "a, b")]
+    # One column alone still tells whole lines from broken ones.
+    assert sorted(r.id for r in whole.select("id").collect()) == ["1", "3"] and whole.count() == 2
+    log = quality.broken_rows(broken, "T", "id", "rota")
+    rows = {r.texto: r for r in log.collect()}
+    assert {k: r.id_registro for k, r in rows.items()} == {"2": 2, "4,x,y,extra": 4, "X,y": None}
+    assert all(r.tabla == "T" and r.motivo == quality.BROKEN_LINE and r.valor is None for r in rows.values())
+    lines = spark.read.text(str(tmp_path)).filter("value <> 'id,fecha,nota'")
+    assert tuple(quality.line_account(lines, staged, "rota").first()) == (6, 2, 3, 1, True)
+    rejected = spark.createDataFrame([("P", 9, "m", 1.0)], "tabla string, id_registro bigint, motivo string, valor double")
+    assert [r.texto for r in quality.error_log_with_text(rejected, log).filter("tabla = 'P'").collect()] == [None]
+
+
 DOCS = ['{"_id": 1, "plato": "Ceviche", "puntuacion": 5, "etiquetas": ["fresco"]}',
         '{"_id": 2, "plato": "Arroz", "visita": {"acompanantes": 2, "ocasion": "Cumpleaños"}}']
 
