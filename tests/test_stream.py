@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import quality
+from salesmart.plans import streaming
+from salesmart.sources.tables import Tables
 from salesmart.streaming import read_result, stream_intake
 
 LINES = "hora timestamp, id_detalle bigint, id_pedido bigint, id_plato bigint, cantidad int"
@@ -120,3 +122,27 @@ def test_lines_behind_the_clock_stop_the_drain(spark, tmp_path):
     intake.feed((3, 101, 1, 2), minutes=11)
     with pytest.raises(quality.ValidationError, match="después del cierre"):
         intake.drain()
+
+
+def test_files_do_not_come_with_the_shuffle_partitions(spark, tmp_path, monkeypatch):
+    schemas = {
+        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+        "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+        "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"}
+    rows = {"lineitem": [(n // 3, n, 1, n % 3, 2.0, 9.0, 0.0, 0.0, "N", "O", START) for n in range(120)]}
+    for name, schema in schemas.items():
+        spark.createDataFrame(rows.get(name, []), schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen = {}
+    monkeypatch.setattr(streaming, "stream_intake", lambda source, catalog, path, *_: seen.update(path=path))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        streaming._drain(Tables(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    given = spark.read.parquet(seen["path"].removesuffix("/out") + "/in")
+    # All lines and the tick; an order's lines lie in several files, and the files are fewer than the 60 partitions.
+    assert given.count() == 121
+    assert streaming.FILES_PER_BATCH < given.select(F.input_file_name()).distinct().count() < 30
