@@ -455,3 +455,52 @@ def test_timings_median(spark):
     data = [("x1", 10, r, us) for r, us in enumerate((300_000, 100_000, 200_400), 1)]
     df = spark.createDataFrame(data, "tabla string, filas int, corrida int, microseg bigint")
     assert rows(volume.timings_median(df)) == [("x1", 10, 0.2)]
+
+
+# star -------------------------------------------------------------------------
+
+def test_fact_branches_are_numbered_apart_and_sorted_narrow(spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "SORT_ROWS", 10)
+    keys = "1L AS sk_cliente, id AS sk_plato, 1L AS sk_empleado, 1 AS sk_pago, 1 AS sk_canal, 1 AS sk_turno, 2 AS cantidad".split(", ")
+    sums = "500L AS precio_unitario, 1000L AS importe_bruto, 300L AS costo_total".split(", ")
+    own = spark.range(100).selectExpr("20240101 AS sk_fecha", *keys, *sums, "id * 37 % 50 AS _orden1", "id AS _orden2")
+    apps = spark.range(3).selectExpr("20240102 AS sk_fecha", *keys, *sums, "'EXT-' || (3 - id) AS nro_pedido", "'CSV externo' AS origen",
+                                     "100L AS comision_plataforma", "900L AS importe_neto", "7 AS tiempo_entrega_min", "CAST(4 AS DECIMAL(2,1)) AS calificacion")
+    fact = warehouse.build_fact(own.withColumns(warehouse._internal_columns()), apps, lines=100)
+    got = rows(fact.orderBy("sk_venta").select("sk_venta", "nro_pedido", "sk_plato", "comision_plataforma", "importe_neto", "margen_bruto"))
+    inner = sorted((n * 37 % 50, n) for n in range(100))
+    assert got == [(k, f"SQL-{o}", n, D("0.00"), D("10.00"), D("7.00")) for k, (o, n) in enumerate(inner, 1)] + [
+        (100 + k, f"EXT-{k}", 3 - k, D("1.00"), D("9.00"), D("6.00")) for k in (1, 2, 3)]
+    # The first branch is staged by tasks of about SORT_ROWS rows, without the columns that follow from others.
+    staged = {f.rsplit("/", 1)[0] for f in fact.inputFiles()}
+    columns = [set(spark.read.parquet(folder).columns) for folder in staged]
+    assert any("_orden1" in c and not c & {"nro_pedido", "origen", "importe_neto", "margen_bruto"} for c in columns)
+    assert len(fact.inputFiles()) > 8
+
+
+def test_star_view_joins_growing_dimensions_on_narrow_rows(spark):
+    dims = {"dim_fecha": "sk_fecha, 2024 AS anio", "dim_plato": "sk_plato, 'p' AS nombre_plato", "dim_canal": "sk_canal, 'c' AS canal",
+            "dim_turno": "sk_turno, 't' AS turno", "dim_metodo_pago": "sk_pago, 'm' AS metodo_pago", "dim_empleado": "sk_empleado, 'e' AS cargo",
+            "dim_cliente": "sk_cliente, 7L AS id_cliente_nk, 'd' AS distrito, 'f' AS tipo_cliente, 1 AS es_cliente_identificado"}
+    tables = {name: spark.range(1).selectExpr(*f"1 AS {text}".split(", ")) for name, text in dims.items()}
+    tables["fact_ventas"] = spark.range(1).selectExpr("5L AS sk_venta", *[f"1 AS {key}" for key in warehouse.FACT_KEYS])
+    view = warehouse.star_view(tables)
+    assert view.columns == ["sk_cliente", "sk_empleado", "sk_pago", "sk_turno", "sk_canal", "sk_plato", "sk_fecha", "sk_venta", "anio", "nombre_plato",
+                            "canal", "turno", "metodo_pago", "cargo", "id_cliente_nk", "distrito", "tipo_cliente", "es_cliente_identificado"]
+    assert rows(view) == [(1,) * 7 + (5, 2024, "p", "c", "t", "m", "e", 7, "d", "f", 1)]
+    plan = view._jdf.queryExecution().analyzed().toString()
+    joins_of = [line.split("sk_")[1].split("#")[0] for line in plan.splitlines() if "Join Inner" in line]
+    assert joins_of[-2:] == ["plato", "cliente"]  # the innermost joins come last in the text
+
+
+def test_whole_order_load_joins_the_lines_once(spark):
+    more = spark.createDataFrame([("14", None, "1", "1", "4.00", "4.00"), ("15", "x", "1", "1", "4.00", "4.00")], schemas.STAGING["stg_detalle"])
+    again = [("1", "06/01/2026", "13:00", "7", "1", "Salón", "Plin", "100.00", 9), ("01", "06/01/2026", "13:00", "7", "1", "Salón", "Plin", "100.00", 9)]
+    orders = staged(spark).unionByName(spark.createDataFrame(again, staged(spark).schema))  # order 1 twice, once spelled otherwise
+    plain, whole = (quality.load_orders(orders, staged_lines(spark).unionByName(more), ["fila"], LOAD, whole=w) for w in (False, True))
+    for name in plain:
+        assert plain[name].columns == whole[name].columns
+        assert sorted(map(str, rows(plain[name]))) == sorted(map(str, rows(whole[name])))
+    for name in ("detalle", "errores", "calidad"):
+        joined = whole[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftSemi" not in joined and "Join LeftAnti" not in joined
