@@ -121,6 +121,9 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     fingerprint of that choice.  Such a group holds no more than
     ``256 ** max_bits`` fingerprints, however many documents there are, and
     within it pairs are discarded by their pivot distances first.
+
+    The keyed side is never broadcast: Spark takes it for the size of the table
+    it is exploded from, a 28th of its rows for two bits.
     """
     if not 1 <= max_bits <= 3:
         raise ValueError("max_bits must be 1, 2 or 3")
@@ -135,7 +138,7 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     near = ((F.col("a.n") == F.col("b.n")) & (F.col("a.m") == F.col("b.m")) & (F.col("a.fp") < F.col("b.fp"))
             & _within(F.col("a.far"), F.col("b.far"), max_bits)
             & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits))
-    return a.join(b, near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+    return a.join(b.hint("merge"), near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -82,6 +82,12 @@ def test_no_link_is_lost(spark, bits):
     assert all((roots.get(a, a) == roots.get(b, b)) == (plain[a] == plain[b]) for a in fps for b in fps)
 
 
+def test_the_exploded_keys_are_not_broadcast(spark):
+    fps = spark.createDataFrame([(n << 8,) for n in range(50)], "fp long")
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()  # a table far below the broadcast threshold
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_one_of_each_group_stays(spark):
     docs = nasty(spark)
     kept = simhash.keep_one(docs)
