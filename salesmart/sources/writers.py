@@ -14,6 +14,10 @@ from ..session import stage
 def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """One folder per table.  Parquet is the primary form, CSV the exchange form.
 
+    CSV files are compressed (``part-*.csv.gz``): as plain text the fact alone takes
+    several times what it was built from.  A file is what one task wrote, so that
+    it cannot be split does not matter to readers.
+
     The fact is stored in date-key order within each file, so row-group
     statistics prune date ranges.
     """
@@ -22,7 +26,7 @@ def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") ->
             df = df.sortWithinPartitions("sk_fecha")
         writer = df.write.mode("overwrite")
         if fmt == "csv":
-            writer.option("header", True).option("escape", '"').csv(f"{path}/{name}")
+            writer.option("header", True).option("escape", '"').option("compression", "gzip").csv(f"{path}/{name}")
         else:
             writer.parquet(f"{path}/{name}")
 

@@ -87,6 +87,16 @@ def test_load_master(spark):
     assert got == [("01234567", Decimal("1500.00")), ("87654321", None), ("00000009", None)]
 
 
+def test_star_csv_is_compressed_and_reads_back(spark, tmp_path):
+    rows = [(k, 9000 + k, 'C-"A", b', None, "N/A", "x, y" if k else "", dt.date(2025, 6, 1), k, 1) for k in range(3)]
+    dim = spark.createDataFrame(rows, schemas.STAR["dim_cliente"])
+    writers.write_star({"dim_cliente": dim}, str(tmp_path), "csv")
+    files = [p.name for p in (tmp_path / "dim_cliente").iterdir() if p.name.startswith("part-")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    back = feeds.load_star(spark, str(tmp_path), "csv", ["dim_cliente"])["dim_cliente"].select("sk_cliente", "cliente_seudonimo", "fecha_registro")
+    assert sorted(map(tuple, back.collect()))[0] == (0, 'C-"A", b', dt.date(2025, 6, 1))
+
+
 def test_step_log_as_csv_and_text(spark, tmp_path):
     log = spark.sql("SELECT 'T01' AS paso, 'Quitar \"dobles\"' AS descripcion, 5L AS filas_in, 4L AS filas_out, 1L AS filas_afectadas, "
                     "TIMESTAMP '2026-10-01 15:09:02' AS marca_tiempo")
