@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from salesmart.operators import quality
 from salesmart.plans import streaming
 from salesmart.sources.tables import Tables
-from salesmart.streaming import read_result, stream_intake
+from salesmart.streaming import intake_stream, read_result, stream_intake
 
 LINES = "hora timestamp, id_detalle bigint, id_pedido bigint, id_plato bigint, cantidad int"
 START = dt.datetime(2024, 5, 1, 12)
@@ -124,6 +124,23 @@ def test_lines_behind_the_clock_stop_the_drain(spark, tmp_path):
         intake.drain()
 
 
+def test_states_lie_on_disk_and_orders_are_not_broadcast(spark, tmp_path, monkeypatch):
+    plans, write = {}, intake_stream._write
+    monkeypatch.setattr(intake_stream, "_write", lambda df, path, table, batch_id: (
+        plans.update({(table, batch_id): df._jdf.queryExecution().executedPlan().toString()}), write(df, path, table, batch_id))[1])
+    intake = Intake(spark, tmp_path)
+    intake.feed((1, 100, 1, 2), (2, 101, 999, 1))
+    intake.tick()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    intake.drain()
+    assert intake.result("pedidos", "id_pedido") == [(100,)]
+    assert spark.conf.get(provider, None) == before  # the session is as it was
+    assert "RocksDBStateStoreProvider" in (tmp_path / "c" / "offsets" / "0").read_text()
+    assert any("SortMergeJoin" in plan for (table, _), plan in plans.items() if table == "detalle")
+    assert not [key for key, plan in plans.items() if key[0] != "cotizado" and "BroadcastHashJoin" in plan]  # the menu may be
+
+
 def test_files_do_not_come_with_the_shuffle_partitions(spark, tmp_path, monkeypatch):
     schemas = {
         "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
